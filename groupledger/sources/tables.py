@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.incremental import upsert
+from ..operators.incremental import latest_per_key, upsert
 
 DEFAULT_LAYER = "analytics"
 LAYERS = ("bronze", "integration", "marts", "control")
@@ -62,22 +62,33 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
+def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bring the rows of one partition together before a partitioned write.
+
+    Spark splits a partition that is too big over several tasks and joins small
+    ones, so a table gets few files however its rows are spread.
+    """
+    return df.hint("rebalance", *by)
+
+
 def create_keyed_table(
-    df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
-    buckets: int = 16,
+    df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
+    partition_by: Sequence[str] = (), buckets: int = 16,
 ) -> None:
-    """First load of a table for ``merge_table``.
+    """First load of a table for ``merge_table``: the latest row of every key.
 
     Rows are laid out by ``partition_by`` (columns of the key, so that a key
     never moves) and otherwise by a hash of the key.
     """
-    by, rows = _laid_out(df, keys, partition_by, buckets)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *by
-    ).parquet(path)
+    by, rows = _laid_out(latest_per_key(df, keys, order), keys, partition_by, buckets)
+    gathered(rows, by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(*by).parquet(path)
 
 
-def _laid_out(df, keys, partition_by, buckets):
+def _laid_out(
+    df: DataFrame, keys: Sequence[str], partition_by: Sequence[str], buckets: int
+) -> tuple[list[str], DataFrame]:
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must belong to the key")
     if partition_by:
@@ -110,7 +121,10 @@ def merge_table(
         target = read_table(spark, path, T.StructType(list(layout) + list(parts)))
         touched = rows.select(*by).distinct()
         old = target.join(touched, list(by), "left_semi").select(*rows.columns)
-        upsert(old, rows, keys, order).write.mode("overwrite").partitionBy(*by).parquet(side)
+        merged = gathered(upsert(old, rows, keys, order), by)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            *by
+        ).parquet(side)
     (
         spark.read.schema(rows.schema).parquet(side).select(*rows.columns)
         .write.mode("overwrite")
@@ -120,5 +134,13 @@ def merge_table(
     )
 
 
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    """Put df's partitions in place of the table's; the others stay as they are."""
+    gathered(df, by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*by).parquet(path)
+    return read_table(df.sparkSession, path, df.schema).select(*df.columns)
+
+
 def read_keyed_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return read_table(spark, path, schema).select(*schema.names)
