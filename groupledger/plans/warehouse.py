@@ -35,7 +35,7 @@ class Warehouse:
 
     ``quotes`` is the wide table of exchange-rate quotes. With a ``store`` the
     entities that many marts read are written there on first use and read back,
-    instead of being recomputed by every mart.
+    instead of being recomputed by every mart; ``known`` names those that exist.
     """
 
     def __init__(
@@ -45,10 +45,11 @@ class Warehouse:
         quotes: DataFrame,
         settings: Settings | None = None,
         store: str | None = None,
+        known: Mapping[str, DataFrame] | None = None,
     ) -> None:
         self.spark, self.raw, self.quotes, self.store = spark, raw, quotes, store
         self.settings = settings or Settings()
-        self._kept: dict[str, DataFrame] = {}
+        self._kept: dict[str, DataFrame] = dict(known or {})
 
     def _keep(
         self, name: str, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()

@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .functions.dates import month_start
 from .functions.numbers import money_sum
 from .operators import control, incremental
 from .operators.calendar import calendar_covering
@@ -226,6 +227,11 @@ FIRST_RUN, SECOND_RUN = datetime(2002, 1, 1), datetime(2002, 1, 2)
 MID_MONTH = datetime(1998, 6, 15)
 
 
+def _months_after(rows: DataFrame) -> DataFrame:
+    fresh = incremental.newer_than(rows, "_loaded_at", MID_MONTH)
+    return fresh.select(month_start(F.col("transaction_date")).alias("month"))
+
+
 def touched_period_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freight mart stored in mid-month, then refreshed with everything later."""
     w = warehouse(spark, sf_dir)
@@ -236,9 +242,8 @@ def touched_period_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     known = shipments.filter(F.col("_loaded_at") <= _at(MID_MONTH))
     refresh.refresh_periods(spark, path, known, w.calendar, build, FIRST_RUN, None)
-    mart = refresh.refresh_periods(
-        spark, path, shipments, w.calendar, build, SECOND_RUN, since=MID_MONTH
-    )
+    later = _months_after(shipments)
+    mart = refresh.refresh_periods(spark, path, shipments, w.calendar, build, SECOND_RUN, later)
     return mart.drop("load_timestamp")
 
 
@@ -252,9 +257,8 @@ def touched_period_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     known = facts.filter(F.col("_loaded_at") <= _at(MID_MONTH))
     refresh.refresh_periods(spark, path, known, w.calendar, build, FIRST_RUN, None)
-    totals = refresh.refresh_periods(
-        spark, path, facts, w.calendar, build, SECOND_RUN, since=MID_MONTH
-    )
+    later = _months_after(facts)
+    totals = refresh.refresh_periods(spark, path, facts, w.calendar, build, SECOND_RUN, later)
     return marts_group.with_spend_shares(totals.drop("load_timestamp"))
 
 
