@@ -99,8 +99,14 @@ def _finish(df: DataFrame, table: str, columns: dict[str, Column], code: Column
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their order and customer.
+
+    Lines are dealt out by order key, which the join needs anyway once orders
+    outgrow a broadcast; until then it spreads a file of a single row group over
+    all tasks.
+    """
     lineitem, orders, customer = tables(spark, folder, "lineitem", "orders", "customer")
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    return lineitem.repartition("l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         customer, F.col("o_custkey") == F.col("c_custkey")
     )
 
