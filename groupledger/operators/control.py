@@ -8,8 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .joins import bounded
-
 WARN_HOURS, ERROR_HOURS = 25, 49
 
 
@@ -39,9 +37,9 @@ def _is_new() -> Column:
     return F.when(incremental, F.col("loaded") > F.col("last_loaded_at")).otherwise(True)
 
 
-def new_row_counts(config: DataFrame, times: DataFrame, config_rows: int) -> DataFrame:
+def new_row_counts(config: DataFrame, times: DataFrame) -> DataFrame:
     """New rows per active source: rows past the mark, or all rows of a full load."""
-    counted = times.join(bounded(active(config), config_rows), "target_table")
+    counted = times.join(active(config), "target_table")
     counts = counted.groupBy("target_table").agg(F.count_if(_is_new()).alias("new_rows"))
     return active(config).join(counts, "target_table", "left").select(
         "subsidiary_code",
@@ -51,16 +49,14 @@ def new_row_counts(config: DataFrame, times: DataFrame, config_rows: int) -> Dat
     )
 
 
-def advance_marks(
-    config: DataFrame, times: DataFrame, config_rows: int, as_of: datetime
-) -> DataFrame:
+def advance_marks(config: DataFrame, times: DataFrame, as_of: datetime) -> DataFrame:
     """Config with the marks moved to what was really seen.
 
     An incremental source moves to its greatest load time and never back; a full
     load is stamped with the run's own time; inactive sources stay.
     """
     seen = (
-        times.join(bounded(active(config).select("target_table"), config_rows), "target_table")
+        times.join(active(config).select("target_table"), "target_table")
         .groupBy("target_table")
         .agg(F.max("loaded").alias("_seen"))
     )

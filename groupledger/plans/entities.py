@@ -121,22 +121,20 @@ def products(staged: Mapping[str, DataFrame]) -> DataFrame:
     """One row per product and subsidiary.
 
     A product seen with several categories or plants takes those of its latest
-    load, so the key stays unique and joins to it never multiply rows.
+    load, so the key stays unique and joins to it never multiply rows. Facts are
+    first brought down to the versions of each product by hashing.
     """
     parts = []
     for code, df in staged.items():
         category, kind, cost_center = _product_columns(code)
-        latest = (
-            df.groupBy("subsidiary_code", product_id(code).alias("product_id_nk"))
-            .agg(
-                F.max(
-                    F.struct(
-                        "_loaded_at",
-                        category.alias("product_category"),
-                        cost_center.alias("cost_center"),
-                    )
-                ).alias("latest")
-            )
+        versions = df.groupBy(
+            "subsidiary_code",
+            product_id(code).alias("product_id_nk"),
+            category.alias("product_category"),
+            cost_center.alias("cost_center"),
+        ).agg(F.max("_loaded_at").alias("_loaded_at"))
+        latest = versions.groupBy("subsidiary_code", "product_id_nk").agg(
+            F.max(F.struct("_loaded_at", "product_category", "cost_center")).alias("latest")
         )
         parts.append(
             latest.select(

@@ -132,13 +132,23 @@ def customer_360(customers: DataFrame, facts: DataFrame) -> DataFrame:
         .join(business, keys)
         .groupBy("customer_id_nk", "customer_type")
         .agg(
-            F.count_distinct("subsidiary_code").alias("subsidiary_count"),
             F.array_sort(F.collect_set("subsidiary_code")).alias("subsidiaries"),
             money_sum("revenue").alias("total_group_revenue_php"),
             F.min("first_day").alias("first_transaction"),
             F.max("last_day").alias("last_transaction"),
             F.sum("n").alias("total_transactions"),
         )
+        .withColumn("subsidiary_count", F.size("subsidiaries").cast("bigint"))
+        .select(
+            "customer_id_nk",
+            "customer_type",
+            "subsidiary_count",
+            "subsidiaries",
+            "total_group_revenue_php",
+            "first_transaction",
+            "last_transaction",
+            "total_transactions",
+        )
     )
 
 

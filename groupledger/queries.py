@@ -22,7 +22,7 @@ from .plans.warehouse import MARTS, Settings, Warehouse
 from .schemas import BRONZE
 from .session import shared_folder
 from .sources import csv_landing, testtables
-from .sources.reference_rows import INGESTION, ingestion_config
+from .sources.reference_rows import CODES, INGESTION, ingestion_config
 from .sources.registry import LANDING
 from .sources.tables import (
     create_keyed_table, merge_table, read_keyed_table,
@@ -138,7 +138,9 @@ def incremental_filter_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("subsidiary_code") == code) & (F.col("_loaded_at") <= _at(until))
         )
     target = facts.filter(loaded)
-    fresh = incremental.newer_than_target(facts, target, "_loaded_at", ["subsidiary_code"])
+    fresh = incremental.newer_than_target_by_source(
+        facts, target, "_loaded_at", "subsidiary_code", CODES
+    )
     return fresh.select("transaction_key", "subsidiary_code", "amount_php", "_loaded_at")
 
 
@@ -288,12 +290,12 @@ def _config(spark: SparkSession) -> DataFrame:
 
 def ingest_new_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = _bronze_times(spark, sf_dir)
-    return control.new_row_counts(_config(spark), times, len(INGESTION))
+    return control.new_row_counts(_config(spark), times)
 
 
 def ingest_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = _bronze_times(spark, sf_dir)
-    return control.advance_marks(_config(spark), times, len(INGESTION), SECOND_RUN)
+    return control.advance_marks(_config(spark), times, SECOND_RUN)
 
 
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:

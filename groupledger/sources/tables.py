@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.incremental import latest_per_key, upsert
+from ..operators.incremental import latest_per_key, replace_by_key
 
 DEFAULT_LAYER = "analytics"
 LAYERS = ("bronze", "integration", "marts", "control")
@@ -48,6 +48,19 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def publish(spark: SparkSession, name: str, path: str) -> None:
+    """Make a stored table known to the catalog, so that SQL can name it.
+
+    The catalog entry is made anew, which takes up new columns and partitions;
+    the files stay as they are.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def ensure_databases(spark: SparkSession, names: Sequence[str] = LAYERS) -> None:
     for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -105,33 +118,30 @@ def merge_table(
     run_id: str,
     partition_by: Sequence[str] = (),
     buckets: int = 16,
-    schema: T.StructType | None = None,
 ) -> None:
     """Keyed upsert that rewrites only the partitions the batch falls into.
 
-    The merged partitions go to a side folder named after the run, then replace
-    the table's. Running the same run again picks up the finished side folder,
-    so a driver lost while partitions are being replaced loses no row.
+    Side folders named after the run take first the batch, one row per key, so
+    that it is computed once, then the merged partitions, which at last replace
+    the table's. Running the same run again goes on from the last finished
+    folder, so a driver lost while partitions are being replaced loses no row.
     """
-    by, rows = _laid_out(batch, keys, partition_by, buckets)
     side = f"{path.rstrip('/')}__merge/{run_id}"
-    if not exists(spark, side):
-        layout = schema or batch.schema
-        parts = T.StructType([f for f in rows.select(*by).schema if f.name not in layout.names])
-        target = read_table(spark, path, T.StructType(list(layout) + list(parts)))
-        touched = rows.select(*by).distinct()
-        old = target.join(touched, list(by), "left_semi").select(*rows.columns)
-        merged = gathered(upsert(old, rows, keys, order), by)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            *by
-        ).parquet(side)
-    (
-        spark.read.schema(rows.schema).parquet(side).select(*rows.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    by, rows = _laid_out(batch, keys, partition_by, buckets)
+    layout = rows.schema
+    if not exists(spark, f"{side}/merged"):
+        if not exists(spark, f"{side}/batch"):
+            write_table(latest_per_key(rows, keys, order), f"{side}/batch")
+        fresh = read_table(spark, f"{side}/batch", layout).select(*rows.columns)
+        touched = fresh.select(*by).distinct()
+        target = read_table(spark, path, layout)
+        old = target.join(touched, by, "left_semi").select(*rows.columns)
+        merged = replace_by_key(old, fresh, keys)
+        write_table(gathered(merged, by), f"{side}/merged", by)
+    merged = read_table(spark, f"{side}/merged", layout).select(*rows.columns)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *by
+    ).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:

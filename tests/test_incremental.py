@@ -5,10 +5,14 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from groupledger.operators import control, incremental
+from groupledger.operators.calendar import calendar
 from groupledger.operators.fx import prepare_rates
 from groupledger.operators.joins import absent, insert_if_absent
-from groupledger.sources.reference_rows import INGESTION, ingestion_config
+from groupledger.plans.refresh import refresh_periods
+from groupledger.sources.reference_rows import ingestion_config
 from groupledger.sources.tables import (
     create_keyed_table, exists, layer, merge_table, read_keyed_table, table_path, write_table,
 )
@@ -31,7 +35,7 @@ def test_marks_and_late_rows(rows):
     batch = rows(ddl, ("A", at("2024-01-02 00:00:00")), ("A", at("2024-01-03 00:00:00")),
                  ("B", at("1999-01-01 00:00:00")))
     fresh = {("A", at("2024-01-03 00:00:00")), ("B", at("1999-01-01 00:00:00"))}
-    assert as_set(incremental.newer_than_target(batch, target, "t", ["s"])) == fresh
+    assert as_set(incremental.newer_than_target_by_source(batch, target, "t", "s", ["A", "B"])) == fresh
     assert as_set(incremental.newer_than_target(batch, target, "t")) == {
         ("A", at("2024-01-03 00:00:00"))}
     assert incremental.high_water_marks(None, ["A"], "s", "t") == {"A": incremental.FIRST_LOAD}
@@ -138,10 +142,10 @@ def test_control_table(spark, rows):
                             "updated_at"),
         "raw_sub_a_customers": (rows(ddl, (None,), (None,), (None,)), None),
     })
-    counts = control.new_row_counts(config, times, len(INGESTION))
+    counts = control.new_row_counts(config, times)
     assert as_set(counts.select("target_table", "new_rows")) == {
         ("raw_sub_a_sales", 1), ("raw_sub_a_customers", 3)}
-    moved = control.advance_marks(config, times, len(INGESTION), at("2025-01-01 00:00:00"))
+    moved = control.advance_marks(config, times, at("2025-01-01 00:00:00"))
     assert as_set(moved.select("target_table", "last_loaded_at")) == {
         ("raw_sub_a_sales", at("2024-01-03 00:00:00")),
         ("raw_sub_a_customers", at("2025-01-01 00:00:00"))}
@@ -195,3 +199,26 @@ def test_stream_takes_each_file_once_and_late_rows(spark, rows, tmp_path):
     assert run() == [(1, "a", 5), (2, "a", 5)]
     arrive((3, "late", 1), (2, "b", 6))
     assert run() == [(1, "a", 5), (2, "b", 6), (3, "late", 1)]
+
+
+def test_refreshed_months_may_bring_a_new_column(spark, rows, tmp_path):
+    path = str(tmp_path / "mart")
+    cal = calendar(spark, day("2024-01-01"), day("2024-04-01"))
+    source = rows("transaction_date date, v int", (day("2024-01-05"), 1), (day("2024-02-05"), 2),
+                  (day("2024-02-06"), 3))
+    months = rows("month date", (day("2024-02-01"),))
+
+    def build(with_top):
+        def make(df, period):
+            joined = df.join(period, df.transaction_date == period.date_key)
+            aggs = [F.sum("v").alias("total")] + ([F.max("v").alias("top")] if with_top else [])
+            return joined.groupBy("year", "month_num").agg(*aggs)
+        return make
+
+    def run(with_top, only):
+        got = refresh_periods(spark, path, source, cal, build(with_top), at("2024-05-01 00:00:00"), only)
+        return as_set(got.select("month_num", "total", *(["top"] if "top" in got.columns else [])))
+
+    assert run(False, None) == {(1, 1), (2, 5)}
+    assert run(True, months) == {(1, 1, None), (2, 5, 3)}
+    assert run(False, months) == {(1, 1, None), (2, 5, None)}

@@ -123,6 +123,9 @@ def test_second_run_equals_a_full_rebuild(spark, raw, tmp_path):
     assert report.filter("rule = 'not_null' AND failing_rows > 0").count() == 0
     assert report.filter("rule = 'relationship' AND failing_rows > 0").count() == 0
     assert spark.table("stg_sub_a_sales").count() == 6000
+    assert spark.table("integration.ent_transaction").count() == rows_before
+    assert spark.table("marts.mart_freight_ops").count() == len(whole_before)
+    assert {r.status for r in second.freshness.collect()} == {"pass"}
 
     again = run_pipeline(spark, landing, root, "r2", settings, datetime(2002, 1, 2))
     assert again.tables["ent_transaction"].count() == rows_before
