@@ -21,7 +21,7 @@ def whole_sum(col: Column | str) -> Column:
 
 
 def rounded(value: Column, digits: int) -> Column:
-    return F.round(value.cast("decimal(28,12)"), digits).cast("double")
+    return F.round(value.cast("decimal(38,12)"), digits).cast("double")
 
 
 def ratio(num: Column, den: Column, digits: int) -> Column:

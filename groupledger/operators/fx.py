@@ -66,7 +66,7 @@ def prepare_rates(
         F.lit(HOME_CURRENCY).alias("to_currency"),
         rounded(per_home, 8).cast(FX_RATE["rate"].dataType).alias("rate"),
         F.round(F.col("filled"), 6).cast(FX_RATE["usd_php_rate"].dataType).alias("usd_php_rate"),
-    )
+    ).orderBy("from_currency", "rate_date")
 
 
 def with_rate(facts: DataFrame, rates: DataFrame, rate_rows: int, *columns: str) -> DataFrame:
@@ -80,7 +80,10 @@ def with_rate(facts: DataFrame, rates: DataFrame, rate_rows: int, *columns: str)
 
 
 def to_home_currency(facts: DataFrame, rates: DataFrame, rate_rows: int) -> DataFrame:
-    """Add amount_php: home amounts as they are, others divided by the day's rate."""
+    """Add amount_php: home amounts as they are, others divided by the day's rate.
+
+    Without a rate, or where the amount does not fit its column, it is NULL.
+    """
     converted = rounded(
         F.col("amount_local").cast("double")
         / F.nullif(F.col("rate").cast("double"), F.lit(0.0)),
@@ -88,7 +91,7 @@ def to_home_currency(facts: DataFrame, rates: DataFrame, rate_rows: int) -> Data
     )
     home = F.col("currency_code") == HOME_CURRENCY
     amount = F.when(home, F.col("amount_local").cast("decimal(18,2)")).otherwise(
-        converted.cast("decimal(18,2)")
+        converted.try_cast("decimal(18,2)")
     )
     return (
         with_rate(facts, rates, rate_rows, "rate").withColumn("amount_php", amount).drop("rate")
