@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.incremental import latest_per_key, replace_by_key
 
 DEFAULT_LAYER = "analytics"
 LAYERS = ("bronze", "integration", "marts", "control")
 BUCKET = "_bucket"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def layer(custom: str | None = None, default: str = DEFAULT_LAYER) -> str:
@@ -90,20 +92,15 @@ def create_keyed_table(
 ) -> None:
     """First load of a table for ``merge_table``: the latest row of every key.
 
-    Rows are laid out by ``partition_by`` (columns of the key, so that a key
-    never moves) and otherwise by a hash of the key.
+    Rows are laid out by ``partition_by``, or by a hash of the key without it.
     """
     by, rows = _laid_out(latest_per_key(df, keys, order), keys, partition_by, buckets)
-    gathered(rows, by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(*by).parquet(path)
+    write_table(gathered(rows, by), path, by)
 
 
 def _laid_out(
     df: DataFrame, keys: Sequence[str], partition_by: Sequence[str], buckets: int
 ) -> tuple[list[str], DataFrame]:
-    if not set(partition_by) <= set(keys):
-        raise ValueError("partition columns must belong to the key")
     if partition_by:
         return list(partition_by), df
     return [BUCKET], with_bucket(df, keys, buckets)
@@ -119,29 +116,65 @@ def merge_table(
     partition_by: Sequence[str] = (),
     buckets: int = 16,
 ) -> None:
-    """Keyed upsert that rewrites only the partitions the batch falls into.
+    """Keyed upsert that rewrites only the partitions the batch changes.
+
+    Those are the partitions of the batch's rows and, where a partition column
+    is not part of the key, the ones the batch's keys lie in so far.
 
     Side folders named after the run take first the batch, one row per key, so
-    that it is computed once, then the merged partitions, which at last replace
-    the table's. Running the same run again goes on from the last finished
-    folder, so a driver lost while partitions are being replaced loses no row.
+    that it is computed once, then the list of partitions, then the merged
+    partitions, which at last replace the table's. Running the same run again
+    goes on from the last finished folder, so a driver lost while partitions
+    are being replaced loses no row.
     """
     side = f"{path.rstrip('/')}__merge/{run_id}"
     by, rows = _laid_out(batch, keys, partition_by, buckets)
     layout = rows.schema
+    if not exists(spark, f"{side}/batch"):
+        write_table(latest_per_key(rows, keys, order), f"{side}/batch")
+    fresh = read_table(spark, f"{side}/batch", layout).select(*rows.columns)
+    target = read_table(spark, path, layout).select(*rows.columns)
+    if not exists(spark, f"{side}/touched"):
+        touched = fresh.select(*by)
+        if not set(by) <= {*keys, BUCKET}:
+            left = target.select(*keys, *by).join(fresh.select(*keys), list(keys), "left_semi")
+            touched = touched.unionByName(left.select(*by))
+        write_table(touched.distinct(), f"{side}/touched")
+    before = _partitions(read_table(spark, f"{side}/touched"), by)
     if not exists(spark, f"{side}/merged"):
-        if not exists(spark, f"{side}/batch"):
-            write_table(latest_per_key(rows, keys, order), f"{side}/batch")
-        fresh = read_table(spark, f"{side}/batch", layout).select(*rows.columns)
-        touched = fresh.select(*by).distinct()
-        target = read_table(spark, path, layout)
-        old = target.join(touched, by, "left_semi").select(*rows.columns)
-        merged = replace_by_key(old, fresh, keys)
-        write_table(gathered(merged, by), f"{side}/merged", by)
+        old = target.filter(_folder(by).isin(before))
+        write_table(gathered(replace_by_key(old, fresh, keys), by), f"{side}/merged", by)
     merged = read_table(spark, f"{side}/merged", layout).select(*rows.columns)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *by
     ).parquet(path)
+    for folder in set(before) - set(_partitions(merged, by)):
+        _remove(spark, f"{path.rstrip('/')}/{folder}")
+
+
+def _folder(by: Sequence[str]) -> Column:
+    """A row's partition folder, as Spark names it for plain values."""
+    parts = [
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in by
+    ]
+    return F.concat_ws("/", *parts)
+
+
+def _partitions(df: DataFrame, by: Sequence[str]) -> list[str]:
+    """Partition folders that occur. The driver lists a table's folders in any
+    case, so this is no more than it already holds."""
+    names = [row[0] for row in df.select(_folder(by)).distinct().collect()]
+    plain = re.compile("/".join([r"\w+=[\w.-]+"] * len(by)))
+    odd = [name for name in names if not plain.fullmatch(name)]
+    if odd:  # Spark would spell their folders otherwise
+        raise ValueError(f"partition values must be plain words, numbers or dates: {odd[:3]}")
+    return names
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete one partition folder that a merge has left without rows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:

@@ -118,9 +118,30 @@ def test_merge_with_a_changed_layout(spark, rows, tmp_path):
     assert as_set(read_keyed_table(spark, path, batch.schema)) == {(1, None), (2, "x")}
 
 
-def test_partition_columns_must_belong_to_the_key(rows, tmp_path):
+def test_key_moves_to_another_partition(spark, rows, tmp_path):
+    path, keys, order = str(tmp_path / "t"), ["k"], ["t"]
+    ddl = "k int, m date, t int"
+    a, b, c = day("2024-01-01"), day("2024-02-01"), day("2024-03-01")
+    start = rows(ddl, (1, a, 1), (2, b, 1), (3, b, 1), (4, c, 1), (5, None, 1))
+    create_keyed_table(start, path, keys, order, ["m"])
+    kept = set((tmp_path / "t" / "m=2024-03-01").iterdir())
+    for _ in range(2):  # the second time as a repeated run
+        merge_table(spark, path, rows(ddl, (1, b, 2), (5, a, 2), (6, b, 2), (6, b, 1)), keys, order, "r1", ["m"])
+        got = read_keyed_table(spark, path, start.schema)
+        assert as_set(got) == {(1, b, 2), (2, b, 1), (3, b, 1), (4, c, 1), (5, a, 2), (6, b, 2)}
+    merge_table(spark, path, rows(ddl, (5, b, 3)), keys, order, "r2", ["m"])
+    assert as_set(read_keyed_table(spark, path, start.schema)) == {
+        (1, b, 2), (2, b, 1), (3, b, 1), (4, c, 1), (5, b, 3), (6, b, 2)}
+    assert {p.name for p in (tmp_path / "t").iterdir() if "=" in p.name} == {
+        "m=2024-02-01", "m=2024-03-01"}
+    assert set((tmp_path / "t" / "m=2024-03-01").iterdir()) == kept  # never rewritten
+
+
+def test_odd_partition_values_are_refused(spark, rows, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, p string"
+    create_keyed_table(rows(ddl, (1, "a")), path, ["k"], ["p"], ["p"])
     with pytest.raises(ValueError):
-        create_keyed_table(rows(KEYED, (1, "a", 1)), str(tmp_path), ["k"], ["t"], ["v"])
+        merge_table(spark, path, rows(ddl, (1, "b/c")), ["k"], ["p"], "r1", ["p"])
 
 
 def test_layers(spark, rows, tmp_path):
