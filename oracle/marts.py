@@ -1,4 +1,4 @@
-"""Reference-free SQL of the marts."""
+"""SQL of the marts."""
 
 from __future__ import annotations
 
