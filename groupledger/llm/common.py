@@ -41,38 +41,40 @@ def words(text: Column, separators: str = NOT_WORD) -> Column:
     return F.array_remove(F.split(text, separators, -1), "")
 
 
-def running_starts(lengths: Column, block: int = 256) -> Column:
-    """For an array of lengths, the sum of all before each; in blocks, so that the
-    work stays near the array's length."""
+def running(values: Column, combine: Callable[[Column, Column], Column], zero: int = 0,
+            block: int = 256) -> Column:
+    """For an array of ints, what combine makes of all elements before each; in blocks,
+    so that the work stays near the array's length."""
+    empty = F.array().cast("array<int>")
 
     def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda s, x: s + x)
+        return F.aggregate(part, F.lit(zero), combine)
 
     def within(part: Column, base: Column) -> Column:
         return F.aggregate(
             part,
-            F.struct(base.alias("at"), F.array().cast("array<int>").alias("out")),
+            F.struct(base.alias("at"), empty.alias("out")),
             lambda acc, x: F.struct(
-                (acc["at"] + x).alias("at"),
+                combine(acc["at"], x).alias("at"),
                 F.concat(acc["out"], F.array(acc["at"])).alias("out"),
             ),
         )["out"]
 
-    def blocks(of: Column) -> Column:
-        numbers = F.sequence(F.lit(0), ((F.size(of) - 1) / block).cast("int"))
-        return let(
-            F.transform(numbers, lambda b: F.slice(of, b * block + 1, F.lit(block))),
-            lambda parts: let(
-                F.transform(parts, total),
-                lambda sums: F.flatten(F.transform(
-                    parts, lambda p, i: within(p, total(F.slice(sums, F.lit(1), i)))
-                )),
-            ),
-        )
+    return let(values, lambda of: F.when(F.size(of) > 0, let(
+        sliced(of, block),
+        lambda parts: let(
+            F.transform(parts, total),
+            lambda sums: F.flatten(F.transform(
+                parts, lambda p, i: within(p, total(F.slice(sums, F.lit(1), i)))
+            )),
+        ),
+    )).otherwise(empty))
 
-    return let(lengths, lambda of: F.when(F.size(of) > 0, blocks(of)).otherwise(
-        F.array().cast("array<int>")
-    ))
+
+def sliced(of: Column, block: int) -> Column:
+    """A non-empty array cut into arrays of up to block elements."""
+    numbers = F.sequence(F.lit(0), ((F.size(of) - 1) / block).cast("int"))
+    return F.transform(numbers, lambda b: F.slice(of, b * block + 1, F.lit(block)))
 
 
 def places(text: Column, pattern: str) -> Column:
@@ -82,9 +84,9 @@ def places(text: Column, pattern: str) -> Column:
     return let(found, lambda m: F.when(F.size(m) > 0, let(
         F.split(text, pattern, -1),
         lambda gaps: let(
-            running_starts(F.transform(
+            running(F.transform(
                 m, lambda x, i: F.char_length(gaps[i]) + F.char_length(x)
-            )),
+            ), lambda total, x: total + x),
             lambda at: F.transform(m, lambda x, i: F.struct(
                 x.alias("value"),
                 (at[i] + F.char_length(gaps[i])).alias("start"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import licenses, quality_rules
+from . import licenses, pii, quality_rules
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
+    "op2_pii": pii.op2_pii,
     "op5_quality_rules": quality_rules.op5_quality_rules,
 }
 LLM_ORACLE = {
     "op1_license_scan": licenses.SQL,
+    "op2_pii": pii.SQL,
 }
