@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import licenses, pii, quality_rules
+from . import decontamination, licenses, pii, quality_rules, simhash
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_pii": pii.op2_pii,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_simhash": simhash.op6_simhash,
+    "op10_decontamination": decontamination.op10_decontamination,
 }
 LLM_ORACLE = {
     "op1_license_scan": licenses.SQL,
     "op2_pii": pii.SQL,
+    "op10_decontamination": decontamination.SQL,
 }
