@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, pii, quality_rules, simhash
+from . import decontamination, licenses, pii, quality_rules, simhash, token_files, warc
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_pii": pii.op2_pii,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_simhash": simhash.op6_simhash,
+    "op7_warc": warc.op7_warc,
+    "op8_token_files": token_files.op8_token_files,
     "op10_decontamination": decontamination.op10_decontamination,
 }
 LLM_ORACLE = {
     "op1_license_scan": licenses.SQL,
     "op2_pii": pii.SQL,
+    "op7_warc": warc.SQL,
     "op10_decontamination": decontamination.SQL,
 }
