@@ -25,17 +25,17 @@ from .files import mapped, published
 #: The id that ends a document.
 END = 2
 #: Chunks whose ids a worker remembers.
-KNOWN = 300_000
+KNOWN = 700_000
 #: Stands for a null doc_id in the files.
 NO_ID = -(1 << 63)
 #: A space between white space: there a text can't be cut without changing its tokens.
-_UNCUT = re.compile(r"\s (?=\s|\Z)")
+_UNCUT = re.compile(r" (?<=\s.)(?=\s|\Z)")
 
 
 class Encoder:
     """Ids of texts as bytes. A byte-level tokenizer starts a new token at every space
-    that text follows or precedes, so a text's ids are those of its pieces between
-    spaces; each piece goes through the tokenizer once."""
+    that text follows or precedes, and where letters meet a full stop or comma, so a
+    text's ids are those of its pieces; each piece goes through the tokenizer once."""
 
     def __init__(self, path: str, end: int = END):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,31 +43,47 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end + 1)
-        self.kind = "<u2" if size <= 1 << 16 else "<u4"
+        self.kind, self.code = ("<u2", "H") if size <= 1 << 16 else ("<u4", "I")
         self.end = self._bytes([end])
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by piece, with the space before it
+        self.stems: dict[str, bytes] = {}  # by piece without its last marks
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def encoded(self, texts: list[str]) -> Iterator[bytes]:
+        return array(self.code, ids).tobytes()
+
+    def _tokenized(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [self._bytes(x.ids) for x in found]
+
+    def _learn(self, pieces: set[str]) -> None:
+        cut = {}
+        for piece in pieces:
+            stem = piece.rstrip(".,")
+            cut[piece] = stem if stem[-1:].isalpha() else piece
+        wanted = {*cut.values(), *(p[len(s):] for p, s in cut.items() if len(s) < len(p))}
+        new = [x for x in wanted if x not in self.stems]
+        self.stems.update(zip(new, self._tokenized(new), strict=True))
+        for piece, stem in cut.items():
+            rest = piece[len(stem):]
+            self.known[piece] = self.stems[stem] + (self.stems[rest] if rest else b"")
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each text with the end id."""
         if len(self.known) > KNOWN:
             self.known.clear()
+            self.stems.clear()
+        cut, new = [], set()
         for text in texts:
-            if _UNCUT.search(text):
-                pieces = [text]
-            else:
-                first, *others = text.split(" ")
-                pieces = [first, *[f" {x}" for x in others]]
-            new = list({x for x in pieces if x not in self.known})
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            if len(pieces) == 1:
-                yield (self._bytes(found[0].ids) if new else self.known[text]) + self.end
-                continue
-            for piece, ids in zip(new, found, strict=True):
-                self.known[piece] = self._bytes(ids.ids)
-            yield b"".join([*map(self.known.__getitem__, pieces), self.end])
+            first, *later = text.split(" ")
+            pieces = None if _UNCUT.search(text) else [first, *[f" {x}" for x in later]]
+            cut.append(pieces)
+            new.update(x for x in pieces or () if x not in self.known)
+        self._learn(new)
+        return [
+            (self._tokenized([text])[0] if pieces is None
+             else b"".join(map(self.known.__getitem__, pieces))) + self.end
+            for text, pieces in zip(texts, cut, strict=True)
+        ]
 
 
 def _writer(path: str, folder: str, end: int):
@@ -77,10 +93,11 @@ def _writer(path: str, folder: str, end: int):
         with published(f"{folder}/{part:06d}.ids") as out:
             for batch in batches:
                 ids.extend(NO_ID if x is None else x for x in batch.column("doc_id").to_pylist())
-                texts = (x or "" for x in batch.column("text").to_pylist())
-                for data in encoder.encoded(list(texts)):
-                    out.write(data)
-                    offsets.append(offsets[-1] + len(data) // width)
+                for low in range(0, len(batch), 64):
+                    texts = batch.column("text")[low:low + 64].to_pylist()
+                    for data in encoder.encoded([x or "" for x in texts]):
+                        out.write(data)
+                        offsets.append(offsets[-1] + len(data) // width)
         for kind, values in (("offsets", offsets), ("docs", ids)):
             with published(f"{folder}/{part:06d}.{kind}") as out:
                 out.write(np.array(values, "<u8" if kind == "offsets" else "<i8").tobytes())
