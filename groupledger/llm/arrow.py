@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
+import string
+
 import pyarrow as pa
 
+#: Bytes of a lowered word as they are, A-Z lowered, all others a space.
+PLAIN = bytes(
+    c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c) in string.ascii_lowercase + string.digits
+    else 32 for c in range(256)
+)
+
+
+def tokens(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text: letters, digits and all that is not ASCII; A-Z lowered."""
+    return text.translate(PLAIN).split()
+
 
 def raw(column: pa.Array) -> list[bytes]:
     """The bytes of a binary column, null as empty."""

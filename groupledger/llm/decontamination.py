@@ -7,14 +7,12 @@ word. A word is hit if it lies in a match of LENGTH words, or in a whole shorter
 
 from __future__ import annotations
 
-import hashlib
-import string
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .arrow import extended, raw
+from .arrow import PLAIN, extended, raw, tokens
 from .common import checkpointed, stored, table
 
 #: Words of a match that counts.
@@ -24,17 +22,6 @@ COVERAGE = 0.5
 #: Item bytes in one automaton; more items make more passes over the texts.
 BLOCK_BYTES = 2_000_000
 
-_PLAIN = bytes(
-    c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c) in string.ascii_lowercase + string.digits
-    else 32 for c in range(256)
-)
-
-
-def tokens(text: bytes) -> list[bytes]:
-    """Words of a UTF-8 text: letters, digits and all that is not ASCII; A-Z lowered."""
-    return text.translate(_PLAIN).split()
-
-
 class Automaton:
     """All word sequences of some items.
 
@@ -237,7 +224,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for body, spans in zip(raw(batch.column("body")), batch.column("spans").to_pylist(),
                                strict=True):
             if spans:
-                plain, at, edges = body.translate(_PLAIN), 0, []
+                plain, at, edges = body.translate(PLAIN), 0, []
                 for word in plain.split():
                     at = plain.index(word, at)
                     edges.append((at, at + len(word)))

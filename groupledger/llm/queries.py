@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, pii, quality_rules, simhash, token_files, warc
+from . import decontamination, licenses, pii, quality_rules, simhash, token_files, toxicity, warc
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_pii": pii.op2_pii,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_simhash": simhash.op6_simhash,
     "op7_warc": warc.op7_warc,
