@@ -113,5 +113,5 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written once as a Parquet table in the shared folder. For rows with texts."""
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, pii, quality_rules, simhash, token_files, toxicity, warc
+from . import decontamination, html_text, licenses, pii, quality_rules, simhash, token_files, toxicity, warc
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -12,6 +12,7 @@ LLM_QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op7_warc": warc.op7_warc,
     "op8_token_files": token_files.op8_token_files,
+    "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontamination.op10_decontamination,
 }
 LLM_ORACLE = {
