@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, pii, quality_rules, simhash, token_files, toxicity, warc
+from . import decontamination, html_text, licenses, pieces, pii, quality_rules, simhash, token_files, toxicity, warc
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_pii": pii.op2_pii,
+    "op3_pieces": pieces.op3_pieces,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_simhash": simhash.op6_simhash,
