@@ -38,8 +38,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, text, the ids of its pieces, and whether they decode to the text."""
     words = pieces.default_vocabulary()
-    out = pieces.decode(pieces.encode(docs, words, "doc_id", "text"), words)
-    return out.select(
+    return pieces.encode(docs, words, "doc_id", "text", back=True).select(
         "doc.doc_id", "doc.text", "ids", F.size("ids").cast("long").alias("n_ids"),
         (F.col("decoded") == F.coalesce("doc.text", F.lit(""))).alias("round_trip"),
     )

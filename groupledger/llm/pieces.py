@@ -21,7 +21,9 @@ from .common import table
 SPACE = "▁"
 #: Words and joints that a worker remembers.
 KNOWN = 400_000
-JOINTS = 1_000_000
+JOINTS = 500_000
+#: Characters of new words that are matched together; a word is never cut.
+BLOCK = 250_000
 NEVER = float("inf")
 #: Marks in place of a piece's id: the start of a word, a character without a piece.
 START, OTHER = -2, -1
@@ -70,6 +72,11 @@ class Vocabulary:
         for byte, i in self.byte_ids.items():
             self.decoded[i] = bytes([byte])
 
+    def text(self, ids: np.ndarray) -> str:
+        """The text that ids stand for, without the space that was put before it."""
+        data = b"".join([self.decoded[i] for i in ids.tolist()])
+        return data.removeprefix(b" ").decode(errors="replace")
+
     def merge(self, symbols: list[str], steps: list | None = None) -> list[str]:
         """The symbols after all merges: the best rank first, of equal ones the leftmost."""
         symbols = list(symbols)
@@ -180,7 +187,15 @@ class Encoder:
         for word in new:  # pieces of spaces only share one rank, so their joints depend on place
             if SPACE * 2 in word:
                 self.stems[word] = self._bytes(word)
-        self._matched([x for x in new if SPACE * 2 not in x])
+        block, size = [], 0
+        for word in new:
+            if SPACE * 2 not in word:
+                block.append(word)
+                size += len(word)
+            if size >= BLOCK:
+                self._matched(block)
+                block, size = [], 0
+        self._matched(block)
         known = self.stems
         return [known[s] + (known[r] if r else b"") if s else b""
                 for s, r in zip(stems, rests, strict=True)]
@@ -304,46 +319,45 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.int32) + 1
 
 
-def _encode(shared):
+def _encode(shared, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for whole in batches:
             for low in range(0, len(whole), 1024):
                 batch = whole.slice(low, 1024)
-                texts = [x or "" for x in batch.column("text").to_pylist()]
-                ids = encoder.encoded(texts)
+                ids = encoder.encoded([x or "" for x in batch.column("text").to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
                 values = np.frombuffer(b"".join(ids), np.int32)
-                lists = pa.ListArray.from_arrays(
+                columns = {"doc": batch.column("doc"), "ids": pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(values, pa.int32())
-                )
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), lists], ["doc", "ids"])
+                )}
+                if back:
+                    columns["decoded"] = pa.array(
+                        [shared.value.text(np.frombuffer(x, np.int32)) for x in ids], pa.string()
+                    )
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str, back: bool = False) -> DataFrame:
     """Per row of docs: doc (a struct of the columns to keep) and ids, as the model's own
-    library gives them. A null text is empty and has no ids."""
+    library gives them; with back also decoded, the text that the ids stand for. A null
+    text is empty and has no ids."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), "text")
-    schema = T.StructType([
-        packed.schema["doc"], T.StructField("ids", T.ArrayType(T.IntegerType())),
-    ])
+    fields = [packed.schema["doc"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if back:
+        fields.append(T.StructField("decoded", T.StringType()))
     # the vocabulary has a fixed size
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    return packed.mapInArrow(_encode(shared), schema)
+    return packed.mapInArrow(_encode(shared, back), T.StructType(fields))
 
 
 def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoded = shared.value.decoded
         for batch in batches:
-            lists = batch.column("ids")
-            texts = []
-            for ids in lists:
-                data = b"".join([decoded[i] for i in ids.values.to_numpy().tolist()]) \
-                    if ids.is_valid else b""
-                texts.append(data.removeprefix(b" ").decode(errors="replace"))
+            texts = [shared.value.text(x.values.to_numpy()) if x.is_valid else ""
+                     for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
             )
@@ -368,7 +382,7 @@ def default_vocabulary() -> Vocabulary:
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     words = default_vocabulary()
-    return decode(encode(docs, words, "doc_id", "text"), words).select(
+    return encode(docs, words, "doc_id", "text", back=True).select(
         "doc.doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
         (F.col("decoded") == F.coalesce("doc.text", F.lit(""))).alias("round_trip"),
     )
