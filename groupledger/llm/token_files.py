@@ -111,14 +111,14 @@ def _writer(path: str, folder: str, end: int):
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END) -> DataFrame:
     """Writes doc_id (long) and text of docs in ascending doc_id order; repeated doc_ids
-    are ordered by text, null ones stand first, null texts are empty. Returns the
+    are ordered by the text's hash, null ones stand first, null texts are empty. Returns the
     partitions: part, kind (of number), base (ids in all partitions before).
 
     Only one row per partition reaches the driver, for the prefix sums."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    ordered = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
     schema = "part int, n_tokens long, kind string"
-    rows = sorted(ordered.mapInArrow(_writer(tokenizer, folder, end), schema).collect())
+    rows = sorted(ordered.drop("key").mapInArrow(_writer(tokenizer, folder, end), schema).collect())
     bases = accumulate((r.n_tokens for r in rows), initial=0)
     parts = [(r.part, r.kind, base) for r, base in zip(rows, bases, strict=False)]
     return docs.sparkSession.createDataFrame(parts, "part int, kind string, base long")
