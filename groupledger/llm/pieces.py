@@ -294,9 +294,9 @@ class Encoder:
                 if number:
                     begin.add(line[0])
             cut.append(lines)
-        new = list(later - self.after.keys())
+        new = list(later.difference(self.after))
         self.after.update(zip(new, self.learn([SPACE + w for w in new]), strict=True))
-        new = list(begin - self.first.keys())
+        new = list(begin.difference(self.first))
         self.first.update(zip(new, self.learn(new), strict=True))
         odd_words = list({w for at in odd for w in cut[at]})
         odd_ids = dict(zip(odd_words, self.learn(odd_words), strict=True))

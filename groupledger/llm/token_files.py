@@ -39,12 +39,18 @@ class Encoder:
 
     def __init__(self, path: str, end: int = END):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end + 1)
         self.kind, self.code = ("<u2", "H") if size <= 1 << 16 else ("<u4", "I")
         self.end = self._bytes([end])
+        self.model = self.tokenizer.model
+        self.spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.special = any(
+            x.content.lstrip().isalpha()
+            for x in self.tokenizer.get_added_tokens_decoder().values()
+        )
         self.known: dict[str, bytes] = {}  # by piece, with the space before it
         self.stems: dict[str, bytes] = {}  # by piece without its last marks
 
@@ -55,14 +61,31 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [self._bytes(x.ids) for x in found]
 
+    def _letters(self, texts: list[str]) -> list[bytes]:
+        """The same for texts of letters with or without a space before them: each is one
+        token of the pre-tokenizer, so the model can have it at once."""
+        if not texts:
+            return []
+        spelled = self.spelled.pre_tokenize_str("".join(texts))[0][0]
+        ends = list(accumulate(len(x.encode()) for x in texts))
+        tokenize = self.model.tokenize
+        return [
+            self._bytes([x.id for x in tokenize(spelled[a:b])])
+            for a, b in zip([0, *ends], ends, strict=False)
+        ]
+
     def _learn(self, pieces: set[str]) -> None:
         cut = {}
         for piece in pieces:
             stem = piece.rstrip(".,")
             cut[piece] = stem if stem[-1:].isalpha() else piece
         wanted = {*cut.values(), *(p[len(s):] for p, s in cut.items() if len(s) < len(p))}
-        new = [x for x in wanted if x not in self.stems]
-        self.stems.update(zip(new, self._tokenized(new), strict=True))
+        letters, others = [], []
+        for text in wanted.difference(self.stems):
+            plain = not self.special and (text[1:] if text[:1] == " " else text).isalpha()
+            (letters if plain else others).append(text)
+        self.stems.update(zip(letters, self._letters(letters), strict=True))
+        self.stems.update(zip(others, self._tokenized(others), strict=True))
         for piece, stem in cut.items():
             rest = piece[len(stem):]
             self.known[piece] = self.stems[stem] + (self.stems[rest] if rest else b"")
@@ -77,8 +100,8 @@ class Encoder:
             first, *later = text.split(" ")
             pieces = None if _UNCUT.search(text) else [first, *[f" {x}" for x in later]]
             cut.append(pieces)
-            new.update(x for x in pieces or () if x not in self.known)
-        self._learn(new)
+            new.update(pieces or ())
+        self._learn(new.difference(self.known))
         return [
             (self._tokenized([text])[0] if pieces is None
              else b"".join(map(self.known.__getitem__, pieces))) + self.end
