@@ -119,9 +119,10 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     bits = max(1, int(len(letters)).bit_length())
     width = max(1, 62 // bits)  # so many codes fit a key; then widths double
     key = np.zeros(len(rank), np.int64)
+    size = len(rank)
     for step in range(width):
         key <<= bits
-        key[:len(rank) - step] |= rank[step:] + 1
+        key[:max(0, size - step)] |= rank[step:] + 1
     while True:
         order = np.argsort(key, kind="stable")
         if width >= depth:
@@ -129,7 +130,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         ordered = key[order]
         rank[order] = np.concatenate([[0], (ordered[1:] != ordered[:-1]).cumsum()])
         key = rank * (len(rank) + 1)
-        key[:len(rank) - width] += rank[width:] + 1
+        key[:max(0, size - width)] += rank[width:] + 1
         width *= 2
 
 
