@@ -296,8 +296,8 @@ def with_spend_shares(totals: DataFrame) -> DataFrame:
     """Growth per cost centre line and shares, over the whole of the totals."""
     month = ["year", "month_num"]
     grown = with_growth(
-        totals, "total_spend_php", ["subsidiary_code", "cost_center"],
-        [*month, "product_category"], "mom_spend_change_pct",
+        totals, "total_spend_php", ["subsidiary_code", "cost_center", "product_category"],
+        month, "mom_spend_change_pct",
     )
     return grown.select(
         "*",

@@ -50,7 +50,7 @@ spend AS (
 )"""
 
 SPEND = f"""
-SELECT *, {growth('total_spend_php', 'subsidiary_code, cost_center', 'year, month_num, product_category')}
+SELECT *, {growth('total_spend_php', 'subsidiary_code, cost_center, product_category', 'year, month_num')}
          AS mom_spend_change_pct,
        {share('total_spend_php', 'subsidiary_code, year, month_num')} AS subsidiary_spend_share_pct,
        {share('total_spend_php', 'year, month_num')} AS group_spend_share_pct FROM spend"""

@@ -188,3 +188,20 @@ def test_calendar(spark):
     row = got.filter("date_key = DATE'2024-12-29'").first()
     assert (row.day_of_week, row.day_name, row.is_weekend, row.month_name, row.year_month,
             row.year_quarter, row.week_of_year) == (1, "Sun", True, "Dec", "2024-12", "2024-Q4", 52)
+
+
+def test_spend_growth_stays_in_its_category(rows):
+    from decimal import Decimal
+
+    from groupledger.plans.marts_group import with_spend_shares
+
+    totals = rows(
+        "subsidiary_code string, cost_center string, product_category string, year int, "
+        "month_num int, total_spend_php decimal(18,2)",
+        ("A", "c", "X", 2024, 1, Decimal(100)), ("A", "c", "Y", 2024, 1, Decimal(400)),
+        ("A", "c", "X", 2024, 2, Decimal(200)),
+    )
+    got = {(r.product_category, r.month_num): r.mom_spend_change_pct
+           for r in with_spend_shares(totals).collect()}
+    assert got["X", 1] is None and got["Y", 1] is None
+    assert float(got["X", 2]) == 100.0
