@@ -275,6 +275,26 @@ def stream_available_now_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_keyed_table(spark, f"{path}/table", events.schema)
 
 
+def stream_two_loads_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from three arrivals: the middle of the time range, its end, and
+    last its start, whose versions are older than those in the table."""
+    events = testtables.tables(spark, sf_dir, "events")[0]
+    path = _scratch(spark, "arrivals")
+    second = F.col("ts").cast("timestamp").cast("long")
+    first, last = events.agg(F.min(second), F.max(second)).first()
+    third = ((last or 0) - (first or 0)) // 3
+    part = F.when(second < (first or 0) + third, 2).when(second > (last or 0) - third, 1)
+    for arrival in range(3):
+        events.filter(F.coalesce(part, F.lit(0)) == arrival).write.mode("append").parquet(
+            f"{path}/source"
+        )
+        upsert_available(
+            spark, f"{path}/source", events.schema, f"{path}/table", f"{path}/checkpoint",
+            keys=["user_id", "event_type"], order=["ts", "event_id"],
+        )
+    return read_keyed_table(spark, f"{path}/table", events.schema)
+
+
 # Ingestion control
 
 
@@ -444,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "touched_period_refresh": touched_period_refresh,
     "touched_period_spend": touched_period_spend,
     "stream_available_now_upsert": stream_available_now_upsert,
+    "stream_two_loads_upsert": stream_two_loads_upsert,
     "source_freshness": source_freshness,
     "csv_round_trip": csv_round_trip,
     "bronze_load": bronze_load,

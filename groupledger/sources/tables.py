@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -92,8 +93,10 @@ def create_keyed_table(
 ) -> None:
     """First load of a table for ``merge_table``: the latest row of every key.
 
-    Rows are laid out by ``partition_by``, or by a hash of the key without it.
+    Rows are laid out by ``partition_by``, or by a hash of the key without it. What
+    merges into an earlier table at the path left aside goes.
     """
+    _remove(df.sparkSession, _side(path))
     by, rows = _laid_out(latest_per_key(df, keys, order), keys, partition_by, buckets)
     write_table(gathered(rows, by), path, by)
 
@@ -115,41 +118,81 @@ def merge_table(
     run_id: str,
     partition_by: Sequence[str] = (),
     buckets: int = 16,
+    keep_latest: bool = False,
 ) -> None:
     """Keyed upsert that rewrites only the partitions the batch changes.
 
     Those are the partitions of the batch's rows and, where a partition column
-    is not part of the key, the ones the batch's keys lie in so far.
-
-    Side folders named after the run take first the batch, one row per key, so
-    that it is computed once, then the list of partitions, then the merged
-    partitions, which at last replace the table's. Running the same run again
-    goes on from the last finished folder, so a driver lost while partitions
-    are being replaced loses no row.
+    is not part of the key, the ones the batch's keys lie in so far. The batch's
+    row takes the place of the stored one; with ``keep_latest`` only if it is not
+    older by ``order``.
+
+    A side folder takes first the batch, one row per key, so that it is computed
+    once, then the list of partitions, then the merged partitions, which at last
+    replace the table's; a mark tells that they all did. A merge that finds merged
+    partitions without the mark first puts them in place, so a driver lost
+    meanwhile loses no row, whichever run comes next. So does a repeat of the last
+    run. The batch handed in is always merged, whatever its run id.
     """
-    side = f"{path.rstrip('/')}__merge/{run_id}"
+    side = _side(path)
     by, rows = _laid_out(batch, keys, partition_by, buckets)
     layout = rows.schema
-    if not exists(spark, f"{side}/batch"):
-        write_table(latest_per_key(rows, keys, order), f"{side}/batch")
+    write_table(latest_per_key(rows, keys, order), f"{side}/batch")
+    _finish_last(spark, path, run_id)
+    for folder in ("merged", "touched", "run", "done"):
+        _remove(spark, f"{side}/{folder}/_SUCCESS")  # from here on it counts as missing
+        _remove(spark, f"{side}/{folder}")
     fresh = read_table(spark, f"{side}/batch", layout).select(*rows.columns)
     target = read_table(spark, path, layout).select(*rows.columns)
-    if not exists(spark, f"{side}/touched"):
-        touched = fresh.select(*by)
-        if not set(by) <= {*keys, BUCKET}:
-            left = target.select(*keys, *by).join(fresh.select(*keys), list(keys), "left_semi")
-            touched = touched.unionByName(left.select(*by))
-        write_table(touched.distinct(), f"{side}/touched")
-    before = _partitions(read_table(spark, f"{side}/touched"), by)
-    if not exists(spark, f"{side}/merged"):
-        old = target.filter(_folder(by).isin(before))
-        write_table(gathered(replace_by_key(old, fresh, keys), by), f"{side}/merged", by)
-    merged = read_table(spark, f"{side}/merged", layout).select(*rows.columns)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    touched = fresh.select(*by)
+    if not set(by) <= {*keys, BUCKET}:
+        left = target.select(*keys, *by).join(fresh.select(*keys), list(keys), "left_semi")
+        touched = touched.unionByName(left.select(*by))
+    write_table(touched.distinct(), f"{side}/touched")
+    run = spark.createDataFrame(
+        [(run_id, layout.json(), by)], "run_id string, layout string, by array<string>"
+    )
+    write_table(run, f"{side}/run")
+    old = target.filter(_folder(by).isin(_partitions(read_table(spark, f"{side}/touched"), by)))
+    if keep_latest:
+        merged = latest_per_key(old.unionByName(fresh), keys, order)
+    else:
+        merged = replace_by_key(old, fresh, keys)
+    write_table(gathered(merged, by), f"{side}/merged", by)
+    _put_in_place(spark, path)
+
+
+def _side(path: str) -> str:
+    return f"{path.rstrip('/')}__merge"
+
+
+def _finish_last(spark: SparkSession, path: str, run_id: str) -> None:
+    """Put the last merge's partitions in place if it was cut off or is this very run.
+    No other merge has changed the table since."""
+    side = _side(path)
+    if exists(spark, f"{side}/merged"):
+        last = read_table(spark, f"{side}/run").first()
+        if last.run_id == run_id or not exists(spark, f"{side}/done"):
+            _put_in_place(spark, path)
+
+
+def _put_in_place(spark: SparkSession, path: str) -> None:
+    side = _side(path)
+    run = read_table(spark, f"{side}/run")
+    last = run.first()
+    layout = T.StructType.fromJson(json.loads(last.layout))
+    merged = read_table(spark, f"{side}/merged", layout).select(*layout.names)
+    _overwrite(merged, path, last.by, read_table(spark, f"{side}/touched"))
+    write_table(run.select("run_id"), f"{side}/done")
+
+
+def _overwrite(df: DataFrame, path: str, by: Sequence[str], listed: DataFrame) -> None:
+    """Put stored rows in place of the table's partitions; listed ones without rows go."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *by
     ).parquet(path)
-    for folder in set(before) - set(_partitions(merged, by)):
-        _remove(spark, f"{path.rstrip('/')}/{folder}")
+    for folder in set(_partitions(listed, by)) - set(_partitions(df, by)):
+        _remove(df.sparkSession, f"{path.rstrip('/')}/{folder}")
 
 
 def _folder(by: Sequence[str]) -> Column:
@@ -172,16 +215,22 @@ def _partitions(df: DataFrame, by: Sequence[str]) -> list[str]:
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete one partition folder that a merge has left without rows."""
+    """Delete a file or folder, if it is there."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
-    """Put df's partitions in place of the table's; the others stay as they are."""
-    gathered(df, by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*by).parquet(path)
+def replace_partitions(
+    df: DataFrame, path: str, by: Sequence[str], listed: DataFrame
+) -> DataFrame:
+    """Put df's rows in place of the listed partitions; the others stay as they are.
+
+    The rows are stored aside first, so that they are computed once. A listed
+    partition without rows goes.
+    """
+    aside = f"{path.rstrip('/')}__part"
+    _overwrite(write_table(gathered(df, by), aside, by), path, by, listed)
+    _remove(df.sparkSession, aside)
     return read_table(df.sparkSession, path, df.schema).select(*df.columns)
 
 

@@ -10,12 +10,13 @@ from ..sources.tables import create_keyed_table, exists, merge_table
 
 
 def _latest_wins(
-    path: str, keys: Sequence[str], order: Sequence[str], buckets: int
+    path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], buckets: int
 ) -> Callable[[DataFrame, int], None]:
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if exists(spark, path):
-            merge_table(spark, path, batch, keys, order, f"batch={batch_id}", buckets=buckets)
+            run_id = f"batch {batch_id} of {checkpoint}"
+            merge_table(spark, path, batch, keys, order, run_id, buckets=buckets, keep_latest=True)
         else:
             create_keyed_table(batch, path, keys, order, buckets=buckets)
 
@@ -37,9 +38,9 @@ def upsert_available(
     """Run once over all files not yet loaded, then stop.
 
     The checkpoint remembers the files, so no high-water mark is kept by hand
-    and a row that arrives late is loaded whatever its time says. A batch that
-    is run again after a failure merges the same rows under the same run id,
-    which leaves the table as if it had run once.
+    and a row that arrives late is loaded whatever its time says, but never takes
+    the place of a later version of its key. A batch that is run again after a
+    failure merges the same rows, which leaves the table as if it had run once.
     """
     reader = spark.readStream.schema(schema)
     if pattern:
@@ -48,7 +49,7 @@ def upsert_available(
     if select:
         rows = select(rows)
     query = (
-        rows.writeStream.foreachBatch(_latest_wins(target, keys, order, buckets))
+        rows.writeStream.foreachBatch(_latest_wins(target, checkpoint, keys, order, buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

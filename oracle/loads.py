@@ -135,6 +135,9 @@ SELECT o_orderkey, o_custkey, o_orderdate,
     "touched_period_refresh": query(FREIGHT),
     "touched_period_spend": query(SPEND, SPEND_TOTALS),
     "stream_available_now_upsert": """
+SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+  ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_two_loads_upsert": """
 SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type
   ORDER BY ts DESC, event_id DESC) = 1""",
     "source_freshness": query("""

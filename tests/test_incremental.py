@@ -137,6 +137,50 @@ def test_key_moves_to_another_partition(spark, rows, tmp_path):
     assert set((tmp_path / "t" / "m=2024-03-01").iterdir()) == kept  # never rewritten
 
 
+def test_reused_run_id_loses_no_row(spark, rows, tmp_path):
+    path, keys, order = str(tmp_path / "t"), ["k"], ["t"]
+    start = rows(KEYED, (1, "old", 1), (2, "old", 1))
+    create_keyed_table(start, path, keys, order, buckets=1)
+    merge_table(spark, path, rows(KEYED, (1, "new", 2)), keys, order, "day1", buckets=1)
+    merge_table(spark, path, rows(KEYED, (2, "new", 3)), keys, order, "day2", buckets=1)
+    merge_table(spark, path, rows(KEYED, (9, "new", 4)), keys, order, "day1", buckets=1)
+    merge_table(spark, path, rows(KEYED, (8, "new", 4)), keys, order, "day1", buckets=1)
+    assert as_list(read_keyed_table(spark, path, start.schema)) == [
+        (1, "new", 2), (2, "new", 3), (8, "new", 4), (9, "new", 4)]
+
+
+def test_cut_off_run_is_finished_by_the_next_one(spark, rows, tmp_path, monkeypatch):
+    path, keys, order = str(tmp_path / "t"), ["p", "k"], ["t"]
+    ddl = "p int, k int, v string, t int"
+    start = rows(ddl, (0, 0, "old", 1), (0, 3, "old", 1), (1, 1, "old", 1))
+    create_keyed_table(start, path, keys, order, ["p"])
+    with monkeypatch.context() as cut:
+        cut.setattr("groupledger.sources.tables._put_in_place", lambda *_: None)
+        merge_table(spark, path, rows(ddl, (0, 0, "new", 2)), keys, order, "r1", ["p"])
+    rows(ddl, (0, 0, "new", 2)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("p").parquet(path)  # half of a folder
+    merge_table(spark, path, rows(ddl, (1, 1, "new", 3)), keys, order, "r2", ["p"])
+    assert as_list(read_keyed_table(spark, path, start.schema)) == [
+        (0, 0, "new", 2), (0, 3, "old", 1), (1, 1, "new", 3)]
+
+
+def test_new_table_forgets_merges_into_the_old_one(spark, rows, tmp_path):
+    path, keys, order = str(tmp_path / "t"), ["k"], ["t"]
+    create_keyed_table(rows(KEYED, (1, "a", 1)), path, keys, order, buckets=1)
+    merge_table(spark, path, rows(KEYED, (2, "b", 1)), keys, order, "r1", buckets=1)
+    create_keyed_table(rows(KEYED, (5, "c", 1)), path, keys, order, buckets=1)
+    merge_table(spark, path, rows(KEYED, (6, "d", 1)), keys, order, "r1", buckets=1)
+    assert as_list(read_keyed_table(spark, path, rows(KEYED).schema)) == [(5, "c", 1), (6, "d", 1)]
+
+
+def test_keep_latest_across_batches_and_partitions(spark, rows, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, p int, t int"
+    create_keyed_table(rows(ddl, (1, 0, 9), (2, 0, 1)), path, ["k"], ["t"], ["p"])
+    late = rows(ddl, (1, 1, 2), (2, 1, 2), (3, 1, 1))
+    merge_table(spark, path, late, ["k"], ["t"], "r1", ["p"], keep_latest=True)
+    assert as_set(read_keyed_table(spark, path, late.schema)) == {(1, 0, 9), (2, 1, 2), (3, 1, 1)}
+
+
 def test_odd_partition_values_are_refused(spark, rows, tmp_path):
     path, ddl = str(tmp_path / "t"), "k int, p string"
     create_keyed_table(rows(ddl, (1, "a")), path, ["k"], ["p"], ["p"])
@@ -222,6 +266,40 @@ def test_stream_takes_each_file_once_and_late_rows(spark, rows, tmp_path):
     assert run() == [(1, "a", 5), (2, "b", 6), (3, "late", 1)]
 
 
+def test_stream_keeps_later_versions_and_outlives_its_checkpoint(spark, rows, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "table")
+    schema = rows(KEYED, (0, "", 0)).schema
+
+    def arrive(mark, *data):
+        rows(KEYED, *data).coalesce(1).write.mode("append").parquet(source)
+        upsert_available(spark, source, schema, target, str(tmp_path / mark), ["k"], ["t"], buckets=2)
+        return as_list(read_keyed_table(spark, target, schema))
+
+    assert arrive("a", (1, "new", 9)) == [(1, "new", 9)]
+    assert arrive("a", (1, "older", 2), (7, "x", 1)) == [(1, "new", 9), (7, "x", 1)]
+    assert arrive("b", (8, "y", 1)) == [(1, "new", 9), (7, "x", 1), (8, "y", 1)]
+    assert arrive("b", (9, "z", 1)) == [(1, "new", 9), (7, "x", 1), (8, "y", 1), (9, "z", 1)]
+
+
+def test_emptied_month_goes(spark, rows, tmp_path):
+    path, cal = str(tmp_path / "mart"), calendar(spark, day("2024-01-01"), day("2024-05-01"))
+    months = rows("month date", (day("2024-02-01"),), (day("2024-03-01"),))
+
+    def build(df, period):
+        joined = df.join(period, df.transaction_date == period.date_key)
+        return joined.groupBy("year", "month_num").agg(F.sum("v").alias("total"))
+
+    def run(only, *data):
+        source = rows("transaction_date date, v int", *data)
+        got = refresh_periods(spark, path, source, cal, build, at("2024-06-01 00:00:00"), only)
+        return as_set(got.select("month_num", "total"))
+
+    january = (day("2024-01-05"), 1)
+    assert run(None, january, (day("2024-02-05"), 2)) == {(1, 1), (2, 2)}
+    assert run(months, january, (day("2024-03-05"), 2)) == {(1, 1), (3, 2)}
+    assert run(months, january) == {(1, 1)}
+
+
 def test_refreshed_months_may_bring_a_new_column(spark, rows, tmp_path):
     path = str(tmp_path / "mart")
     cal = calendar(spark, day("2024-01-01"), day("2024-04-01"))
