@@ -124,6 +124,41 @@ def test_pii_terms_that_give_a_value_away(spark):
     assert clean[100] == rows[5][1]
 
 
+def test_pii_terms_of_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    values, counts, texts = {}, {}, []
+    for _, text in rows:
+        spans = _base(text)
+        blank = list(text)
+        for _, start, end in spans:
+            blank[start:end] = " " * (end - start)
+        lower = "".join(blank).translate({c: c + 32 for c in range(65, 91)})
+        own = set(re.findall(pii.WORD, lower))
+        for word in own:
+            counts[word] = counts.get(word, 0) + 1
+        of = {(k, text[a:b].lower() if k == "email" else text[a:b] if k == "ip" else
+               re.sub("[^0-9]", "", text[a:b])) for k, a, b in spans}
+        for value in of:
+            values.setdefault(value, []).append(own)
+        texts.append((of, own))
+    told = {}
+    for value, owns in values.items():
+        p, both = len(owns) / len(rows), {}
+        for own in owns:
+            for word in own:
+                both[word] = both.get(word, 0) + 1
+        told[value] = {w for w, n in both.items()
+                       if (n + p) / (counts[w] + 1) >= p ** (1 - pii.THRESHOLD)}
+    want = sorted((i, sorted(set().union(*(told[v] & own for v in of))))
+                  for (i, _), (of, own) in zip(rows, texts, strict=True))
+    assert sum(bool(t) for _, t in want) > 0
+    got = pii.detect(docs, "doc_id", "text").select("doc.*", "terms").collect()
+    lower = {c: c + 32 for c in range(65, 91)}
+    assert sorted((r.doc_id, sorted({r.text[s.start:s.end].translate(lower) for s in r.terms}))
+                  for r in got) == want
+
+
 def test_masked_text(spark):
     rng = random.Random(4)
     rows = []
