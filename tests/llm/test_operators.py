@@ -124,6 +124,26 @@ def test_pii_terms_that_give_a_value_away(spark):
     assert clean[100] == rows[5][1]
 
 
+def _terms(df) -> dict[int, set]:
+    return {r.doc_id: {r.text[s.start:s.end] for s in r.terms} for r in
+            pii.detect(df, "doc_id", "text").select("doc.*", "terms").collect()}
+
+
+def test_pii_terms_of_rare_values_anywhere_in_the_text(spark):
+    far = "and so on with other things " * 9
+    rows = [(1, f"Member K7 spoke. {far} Call +1 (499) 555-6503 or K7, not x.y@z.example"),
+            (2, f"quagmire {far} mail a.b@c.example"), (3, f"quagmire {far} mail A.B@c.example z"),
+            (4, f"K8 {far}"), (5, "c.example is no value, but y@x.example is")]
+    rows += [(100 + i, f"{far} member spoke call or not mail is no value but c example x y z {i % 500}")
+             for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = _terms(df)
+    assert {i: t for i, t in got.items() if t} == {1: {"K7"}, 2: {"quagmire"}, 3: {"quagmire"}}
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[1] == f"Member [TERM] spoke. {far} Call [PHONE] or [TERM], not [EMAIL]"
+    assert (clean[4], clean[100]) == (rows[3][1], rows[5][1])
+
+
 def test_pii_terms_of_the_given_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
