@@ -1,8 +1,10 @@
 """Main text of web pages, without what a site repeats on its pages.
 
-Every element outside the running text is hashed with all that is in it; Spark counts
-the hashes by host over different articles, and elements that recur go. What is page
-furniture by its tag or class goes too, and of what is left the article's blocks count.
+Every element without an article is hashed with all that is in it; Spark counts the
+hashes by host over different articles, and elements that recur go. Running text goes
+only beside articles that share little else, as copies of an article recur as well. What
+is page furniture by its tag or class goes too, and of what is left the article's blocks
+count.
 """
 
 from __future__ import annotations
@@ -18,9 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .arrow import extended, raw
 from .common import checkpointed, stored, table
 
-#: An element recurs if it stands beside so many different articles of its host.
-RECURS = 10
-#: Removal lists are broadcast up to so many pages; beyond, they are shuffled.
+#: An element recurs if it stands beside SHARE of the host's different articles, FLOOR at
+#: least; if it is no running text or mostly links, RECURS are enough on large hosts.
+RECURS, SHARE, FLOOR = 10, 0.5, 3
+#: Kinds of elements: containers, mostly link text, running text.
+CONTAINER, LINKS, TEXT = 0, 1, 2
+#: Removal lists are broadcast up to so many rows; beyond, they are shuffled.
 BROADCAST_PAGES = 100_000
 
 #: The markup language's elements by what they are.
@@ -37,7 +42,7 @@ HIDDEN = frozenset(
     "aside button canvas datalist dialog embed footer form head header iframe input math menu "
     "nav noscript object script select style svg template textarea title video audio map".split()
 )
-#: Elements that hold running text: they may recur, as copies of an article do.
+#: Elements that hold running text: copies of an article repeat them as well.
 RUNNING = frozenset(
     "a abbr b blockquote br caption cite code dd dl dt em figcaption figure font h1 h2 h3 h4 h5 "
     "h6 hr i img kbd li mark ol p pre q s samp small span strike strong sub sup table tbody td "
@@ -73,10 +78,10 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 
 
 class Element:
-    __slots__ = ("attrs", "digest", "items", "tag")
+    __slots__ = ("attrs", "digest", "free", "items", "tag")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.items, self.digest = tag, attrs, [], b""
+        self.tag, self.attrs, self.items, self.digest, self.free = tag, attrs, [], b"", False
 
     def furniture(self) -> bool:
         if self.tag in HIDDEN:
@@ -191,55 +196,116 @@ def _articles(page: Element, skip) -> list[Element]:
     return [page]
 
 
-def parts(page: Element) -> tuple[str, set[bytes], set[bytes]]:
-    """The article's text, the digests of the elements that may go (those that are no
-    running text and have no article in them), and which of these lie in the article.
-    Sets the digests of all elements."""
+class _Open:
+    """What is known of an element while its items are read."""
+
+    __slots__ = ("chars", "content", "element", "holds", "inline", "links", "said", "words")
+
+    def __init__(self, element: Element, holds: bool):
+        self.element, self.holds, self.content = element, holds, [element.tag, element.attrs]
+        self.chars = self.links = 0  # of the text, and of that in links
+        self.words = False  # has text of its own
+        self.said = False  # has that, or has it in phrases
+        self.inline: list[tuple[Element, bool]] = []  # phrases that may stand alone, and if links
+
+
+def parts(page: Element) -> tuple[str, dict[bytes, tuple[int, int]], int]:
+    """The article's text, the digests of the elements that may go (those without an
+    article in them) with their kind and how often they stand in the article with words
+    of their own (-1: not in the article), and how many of the article's elements, links
+    aside, have words of their own. Sets digest and free of all elements.
+
+    A phrase (b, a, span ...) is part of its block, unless it stands by itself in a
+    container without words of its own."""
     skip = Element.furniture
     found = _articles(page, skip)
     text = max(("\n".join(blocks(x, skip)) for x in found), key=len)
     keep = {id(x) for x in found}
-    path, digests, inner, inside = [], set(), set(), 0
+    path: list[_Open] = []
+    marks: dict[bytes, tuple[int, int]] = {}
+    inside = units = 0
+
+    def mark(element: Element, kind: int, counts: bool) -> None:
+        element.free = True
+        before = marks.get(element.digest, (kind, -1))[1]
+        within = inside and not element.furniture()
+        marks[element.digest] = (kind, max(before, 0) + counts if within else before)
+
     for item, kind in _walk(page, lambda x: False):
         if kind == 0:
-            path[-1][2].append(" ".join(item.split()))
+            plain = " ".join(item.split())
+            path[-1].content.append(plain)
+            path[-1].chars += len(plain)
+            if not path[-1].words and any(map(str.isalnum, plain)):
+                path[-1].words = path[-1].said = True
         elif kind > 0:
             own = id(item) in keep
             inside += own
-            path.append([item, own, [item.tag, item.attrs]])
+            path.append(_Open(item, own))
         else:
-            element, holds, content = path.pop()
-            inside -= id(element) in keep
+            at = path.pop()
+            element, above = at.element, path[-1] if path else None
             element.digest = hashlib.blake2b(
-                "\0".join(content).encode(errors="replace"), digest_size=8
+                "\0".join(at.content).encode(errors="replace"), digest_size=8
             ).digest()
-            if path:
-                path[-1][2].append(element.digest.hex())
-                path[-1][1] |= holds
-            if not holds and element.tag not in RUNNING:
-                digests.add(element.digest)
-                if inside and not element.furniture():
-                    inner.add(element.digest)
-    return text, digests, inner
+            if element.tag == "a":
+                at.links = at.chars
+            mostly_links = 2 * at.links > at.chars
+            running = element.tag in RUNNING
+            if not running and not at.words:
+                for phrase, link in at.inline:
+                    mark(phrase, LINKS if link else TEXT, not link)
+                    units += bool(inside) and not link
+            elif at.inline:
+                at.said = True
+            block = not running or element.tag in BLOCKS
+            if block and at.said and inside and not element.furniture():
+                units += not (running and mostly_links)
+            if not at.holds:
+                if not running:
+                    mark(element, CONTAINER, False)
+                elif element.tag not in VOID and at.chars and element.tag in BLOCKS:
+                    mark(element, LINKS if mostly_links else TEXT, at.said and not mostly_links)
+            inside -= id(element) in keep
+            if above:
+                above.content.append(element.digest.hex())
+                above.holds |= at.holds
+                if not element.furniture():
+                    above.chars += at.chars
+                    above.links += at.links
+                    if not block and not at.holds and at.chars:
+                        if above.element.tag in RUNNING:
+                            above.said |= at.said
+                        elif at.said:
+                            above.inline.append((element, mostly_links))
+    return text, marks, units
 
 
 def without(page: Element, recurring: frozenset[bytes]) -> str:
     """The article's text when the recurring elements are gone; of several articles the
     longest. The digests must be set."""
     def skip(x: Element) -> bool:
-        return x.digest in recurring or x.furniture()
+        return (x.free and x.digest in recurring) or x.furniture()
 
     return max(("\n".join(blocks(x, skip)) for x in _articles(page, skip)), key=len)
 
 
+MARKS = "array<struct<digest:binary,kind:int,times:int>>"
+
+
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([
+        ("digest", pa.binary()), ("kind", pa.int32()), ("times", pa.int32()),
+    ]))
     for batch in batches:
         found = [parts(parse(x.decode(errors="replace"))) for x in raw(batch.column("body"))]
         yield extended(
             batch, "body",
             text=pa.array([x for x, _, _ in found], pa.string()),
-            digests=pa.array([sorted(x) for _, x, _ in found], pa.list_(pa.binary())),
-            inner=pa.array([sorted(x) for _, _, x in found], pa.list_(pa.binary())),
+            marks=pa.array([[
+                {"digest": d, "kind": k, "times": n} for d, (k, n) in sorted(x.items())
+            ] for _, x, _ in found], kind),
+            units=pa.array([x for _, _, x in found], pa.int32()),
         )
 
 
@@ -256,6 +322,10 @@ def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_PAGES else df
+
+
 def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html).
 
@@ -268,25 +338,54 @@ def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
         F.encode(F.concat("host", F.lit("\n")), "UTF-8"), F.coalesce("body", F.lit(b""))
     )))
     seen = stored(body.select("page_id", "url", "key", "host", "body").mapInArrow(
-        _seen, "page_id long, url string, key string, host string, text string, "
-        "digests array<binary>, inner array<binary>",
+        _seen, f"page_id long, url string, key string, host string, text string, marks {MARKS}, "
+        "units int",
     ), "subtrees")
-    single = seen.select("host", F.xxhash64("text").alias("article"), F.explode("digests").alias("digest"))
+    article = F.xxhash64("text").alias("article")
     # pages that are copies of one another are one article
-    often = checkpointed(
-        single.groupBy("host", "digest", "article").agg(F.lit(1).alias("one"))
-        .groupBy("host", "digest").agg(F.count("*").alias("n")).filter(F.col("n") >= recurs)
-        .drop("n")
+    hosts = checkpointed(seen.filter("text <> ''").groupBy("host", article).agg(
+        F.lit(1).alias("one")
+    ).groupBy("host").agg(F.greatest(
+        F.lit(FLOOR), F.ceil(F.count("*") * SHARE)
+    ).alias("limit")))
+    single = seen.select("key", "host", article, "units", F.explode("marks").alias("m")).select(
+        "key", "host", "article", "units", "m.*"
     )
+
+    def counted(marks: DataFrame) -> DataFrame:
+        """host, digest, kind, n (of different articles) and limit of what may recur."""
+        return _small(hosts).join(marks.groupBy("host", "digest", "kind", "article").agg(
+            F.lit(1).alias("one")
+        ).groupBy("host", "digest", "kind").agg(F.count("*").alias("n")).filter(
+            F.col("n") >= min(FLOOR, recurs)
+        ), "host")
+
+    often = checkpointed(counted(single).filter(F.col("n") >= F.when(
+        F.col("kind") == TEXT, F.col("limit")
+    ).otherwise(F.least("limit", F.lit(recurs)))).select("host", "digest", "kind"))
+    plain = often.filter(F.col("kind") != TEXT).drop("kind")
+    repeated = often.filter(F.col("kind") == TEXT)
+    if not repeated.isEmpty():  # of running text, what articles have beside much of their own
+        shared = single.filter((F.col("kind") == TEXT) & (F.col("times") >= 0)).join(
+            _small(repeated), ["host", "digest", "kind"]
+        ).distinct()
+        beside = shared.groupBy("key").agg(
+            F.first("host").alias("host"), F.first("article").alias("article"),
+            F.first("units").alias("units"), F.sum("times").alias("times"),
+            F.collect_set("digest").alias("digests"),
+        ).filter(2 * F.col("times") <= F.col("units"))
+        proven = counted(beside.select(
+            "host", "article", F.lit(TEXT).alias("kind"), F.explode("digests").alias("digest")
+        )).filter(F.col("n") >= F.col("limit"))
+        plain = checkpointed(plain.union(proven.select("host", "digest")))
     gone = checkpointed(
-        seen.select("key", "host", F.explode("inner").alias("digest"))
-        .join(often, ["host", "digest"]).groupBy("key")
+        single.filter(F.col("times") >= 0).select("key", "host", "digest")
+        .join(_small(plain), ["host", "digest"]).groupBy("key")
         .agg(F.collect_set("digest").alias("gone"))
     )
     out = seen.select("page_id", "url", "key", "text")
     if not gone.isEmpty():  # only pages that lose an element are read again
-        if gone.count() <= BROADCAST_PAGES:
-            gone = F.broadcast(gone)
+        gone = _small(gone)
         again = body.join(gone, "key").select("page_id", "url", "body", "gone").mapInArrow(
             _again, "page_id long, url string, text string"
         )

@@ -420,6 +420,22 @@ def test_site_template_goes(spark):
     assert (by_id[None].text, by_id[200].n_chars) == ("", 0)
 
 
+def test_running_elements_that_recur_go(spark):
+    menu = "<ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul><table><tr><td><a>Top</a></table>"
+    said = "See <b>Home</b> and <a href=/a>Home</a> of"
+    rows = [(i, f"https://few.example/{i}",
+             f"<body>{menu}<a>Log in</a><h2>T{i}</h2><p>{said} {i}<p>All rights are ours.") for i in range(4)]
+    shared = "".join(f"<p>Passage {i} of a text" for i in range(9))
+    rows += [(10 + i, f"https://mirror.example/{i}", f"<body>{shared}<p>Own {i}") for i in range(12)]
+    rows += [(30 + i, f"https://two.example/{i}", f"<body><p>One {i}<p>Twice") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert [got[i] for i in range(4)] == [f"T{i}\nSee Home and Home of {i}" for i in range(4)]
+    copy = [f"Passage {i} of a text" for i in range(9)]
+    assert [got[10 + i] for i in range(12)] == ["\n".join([*copy, f"Own {i}"]) for i in range(12)]
+    assert got[30] == "One 0\nTwice"
+
+
 # Decontamination
 
 
