@@ -196,6 +196,25 @@ def _articles(page: Element, skip) -> list[Element]:
     return [page]
 
 
+def _teaser(article: Element, skip) -> bool:
+    """Whether more than half of the characters are in links, or there are none."""
+    chars = links = inside = 0
+    for item, kind in _walk(article, skip):
+        if kind == 0:
+            size = len("".join(item.split()))
+            chars += size
+            links += size if inside else 0
+        elif item.tag == "a":
+            inside += kind
+    return 2 * links > chars or not chars
+
+
+def _joined(articles: list[Element], skip) -> str:
+    """The blocks of all articles in page order; teasers only if there is nothing else."""
+    own = [x for x in articles if not _teaser(x, skip)] if len(articles) > 1 else articles
+    return "\n".join(text for x in own or articles for text in blocks(x, skip))
+
+
 class _Open:
     """What is known of an element while its items are read."""
 
@@ -219,7 +238,7 @@ def parts(page: Element) -> tuple[str, dict[bytes, tuple[int, int]], int]:
     container without words of its own."""
     skip = Element.furniture
     found = _articles(page, skip)
-    text = max(("\n".join(blocks(x, skip)) for x in found), key=len)
+    text = _joined(found, skip)
     keep = {id(x) for x in found}
     path: list[_Open] = []
     marks: dict[bytes, tuple[int, int]] = {}
@@ -282,12 +301,11 @@ def parts(page: Element) -> tuple[str, dict[bytes, tuple[int, int]], int]:
 
 
 def without(page: Element, recurring: frozenset[bytes]) -> str:
-    """The article's text when the recurring elements are gone; of several articles the
-    longest. The digests must be set."""
+    """The article's text when the recurring elements are gone. The digests must be set."""
     def skip(x: Element) -> bool:
         return (x.free and x.digest in recurring) or x.furniture()
 
-    return max(("\n".join(blocks(x, skip)) for x in _articles(page, skip)), key=len)
+    return _joined(_articles(page, skip), skip)
 
 
 MARKS = "array<struct<digest:binary,kind:int,times:int>>"

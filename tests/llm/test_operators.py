@@ -420,6 +420,20 @@ def test_site_template_goes(spark):
     assert (by_id[None].text, by_id[200].n_chars) == ("", 0)
 
 
+def test_all_articles_count():
+    def text(html: str) -> str:
+        page = html_text.parse(html)
+        first = html_text.parts(page)[0]
+        assert html_text.without(page, frozenset()) == first
+        return first
+
+    teaser = "<article><a href=/x>Read the other story</a> now</article>"
+    page = f"<body><article><p>one<p>two</article>{teaser}<div><article>a longer third</article></div>"
+    assert text(page) == "one\ntwo\na longer third"
+    assert text(f"<body>{teaser}{teaser}") == "\n".join(["Read the other story now"] * 2)
+    assert text("<main>one</main><main><a>t</a></main>") == "one"
+
+
 def test_running_elements_that_recur_go(spark):
     menu = "<ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul><table><tr><td><a>Top</a></table>"
     said = "See <b>Home</b> and <a href=/a>Home</a> of"
