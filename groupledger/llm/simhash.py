@@ -137,15 +137,15 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def grouped(seen: DataFrame) -> DataFrame:
-    """(print, component_id) for the prints of seen (doc, print); component_id is the
-    smallest doc_id that links reach."""
+    """(print, root, component_id) for the prints of seen (doc, print); root tells the
+    components apart, component_id is the smallest doc_id that links reach."""
     nodes = checkpointed(seen.groupBy("print").agg(F.min("doc.doc_id").alias("least")))
     roots = components(links(nodes.select("print")))
     known = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    return known.join(least, "root").select("print", "component_id")
+    return known.join(least, "root").select("print", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -165,11 +165,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     repeated rows one. All columns are kept as they are."""
     seen = fingerprints(docs, *docs.columns)
     narrow = seen.select("row", F.col("doc.doc_id").alias("doc_id"), "print")
-    groups = grouped(seen).withColumnRenamed("component_id", "least")
-    # by the root's smallest id; components without any id are told apart by the print
-    best = narrow.join(groups, "print").groupBy(
-        "least", F.when(F.col("least").isNull(), F.col("print")).alias("alone")
-    ).agg(F.min(F.struct(
+    # by the root: components may share a doc_id, or have none
+    best = narrow.join(grouped(seen), "print").groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row")
     )).alias("best"))
     return seen.join(best.select(F.col("best.row").alias("row")), "row", "left_semi").select(

@@ -343,6 +343,19 @@ def test_simhash_keeps_one_of_each(odd, none):
     assert simhash.one_of_each(none).count() == 0
 
 
+def test_simhash_keeps_one_of_each_component_whatever_the_ids(spark):
+    base = " ".join(f"w{i}" for i in range(3000))
+    other = " ".join(f"v{i}" for i in range(400))
+    near = next(x for x in (f"{base} end{i}" for i in range(200))
+                if 0 < (_fingerprint(x) ^ _fingerprint(base)).bit_count() <= 3)
+    rows = [(1, base), (1, other), (2, base), (None, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _rows(simhash.one_of_each(df)) == _rows(df.limit(2))
+    df = spark.createDataFrame([(None, base), (None, near), (None, other)], "doc_id long, text string")
+    texts = {r.text for r in simhash.one_of_each(df).collect()}
+    assert len(texts) == 2 and other in texts
+
+
 # WARC
 
 
