@@ -19,8 +19,8 @@ from .common import ascii_lower, table, whole, words
 
 #: The model is fitted on so many labelled rows, those with the smallest hash of doc_id.
 SAMPLE = 20_000
-#: Words in the model at most, and how many standard errors their log odds differ from 0.
-FEATURES, LEAST_Z = 512, 4.0
+#: The model has all words whose log odds differ from 0 by so many standard errors.
+LEAST_Z = 4.0
 #: Grades of toxic texts by how often a telling word occurs: 1 below the first, and so on.
 STEPS = (2, 4)
 #: Grades 0 (not toxic) to this.
@@ -108,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     error = F.sqrt(1 / a + 1 / b + 1 / (n_toxic + 1 - a) + 1 / (n - n_toxic + 1 - b))
     telling = found.groupBy("word").agg((odds / error).alias("z")).filter(
         F.abs("z") >= LEAST_Z
-    ).orderBy(F.abs("z").desc(), "word").limit(FEATURES).collect()
+    ).orderBy(F.abs("z").desc(), "word").collect()  # as few as the sample has words
     if not telling:
         return Model()
     number = {row.word: i for i, row in enumerate(telling)}

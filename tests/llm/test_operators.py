@@ -258,6 +258,15 @@ def test_toxicity_odd_input(spark, odd, none):
     assert toxicity.train(none, labels.limit(0)) == toxicity.Model()
 
 
+def test_toxicity_keeps_all_telling_words(spark):
+    telling = " ".join(f"t{i}" for i in range(700))
+    rows = [(i, f"{telling} plain" if i < 60 else "plain words") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, toxic int")
+    known = toxicity.train(docs, labels).weights
+    assert set(known) == {f"t{i}".encode() for i in range(700)} | {b"words"}
+
+
 # Quality rules
 
 
