@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, pieces, pii, quality_rules, simhash, token_files, toxicity, warc
+from . import (
+    bpe, decontamination, html_text, licenses, pieces, pii, quality_rules, simhash,
+    token_files, toxicity, warc,
+)
 
 LLM_QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +18,7 @@ LLM_QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op11_bpe": bpe.op11_bpe,
 }
 LLM_ORACLE = {
     "op1_license_scan": licenses.SQL,
