@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    bpe, decontamination, html_text, licenses, pieces, pii, quality_rules, simhash,
+    bpe, decontamination, hard_negatives, html_text, licenses, pieces, pii, quality_rules, simhash,
     token_files, toxicity, warc,
 )
 
@@ -19,10 +19,12 @@ LLM_QUERIES = {
     "op9_html_text": html_text.op9_html_text,
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_bpe": bpe.op11_bpe,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
 }
 LLM_ORACLE = {
     "op1_license_scan": licenses.SQL,
     "op2_pii": pii.SQL,
     "op7_warc": warc.SQL,
     "op10_decontamination": decontamination.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }
