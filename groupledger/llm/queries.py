@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    bpe, decontamination, hard_negatives, html_text, licenses, pieces, pii, quality_rules, simhash,
+    bpe, decontamination, hard_negatives, html_text, licenses, pieces, pii, quality_rules, simhash, spelling,
     token_files, toxicity, warc,
 )
 
@@ -20,6 +20,7 @@ LLM_QUERIES = {
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_bpe": bpe.op11_bpe,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_spelling": spelling.op13_spelling,
 }
 LLM_ORACLE = {
     "op1_license_scan": licenses.SQL,
