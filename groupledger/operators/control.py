@@ -16,10 +16,11 @@ def active(config: DataFrame) -> DataFrame:
 
 
 def load_times(tables: Mapping[str, tuple[DataFrame, str | None]]) -> DataFrame:
-    """(target_table, loaded) for every row of every table; a table without an
-    incremental column gives NULLs. Only that column is read."""
+    """(subsidiary_code, target_table, loaded) for every row of every raw table; a table
+    without an incremental column gives NULLs. Only those columns are read."""
     parts = [
         df.select(
+            F.col("_subsidiary_code").alias("subsidiary_code"),
             F.lit(name).alias("target_table"),
             (F.col(column) if column else F.lit(None)).cast("timestamp_ntz").alias("loaded"),
         )
@@ -37,11 +38,15 @@ def _is_new() -> Column:
     return F.when(incremental, F.col("loaded") > F.col("last_loaded_at")).otherwise(True)
 
 
+SOURCE = ["subsidiary_code", "target_table"]
+
+
 def new_row_counts(config: DataFrame, times: DataFrame) -> DataFrame:
-    """New rows per active source: rows past the mark, or all rows of a full load."""
-    counted = times.join(active(config), "target_table")
-    counts = counted.groupBy("target_table").agg(F.count_if(_is_new()).alias("new_rows"))
-    return active(config).join(counts, "target_table", "left").select(
+    """New rows per active source: its subsidiary's rows past the mark, or all of its rows
+    of a full load. Rows of other subsidiaries in the same table do not count."""
+    counted = times.join(active(config), SOURCE)
+    counts = counted.groupBy(*SOURCE).agg(F.count_if(_is_new()).alias("new_rows"))
+    return active(config).join(counts, SOURCE, "left").select(
         "subsidiary_code",
         "target_table",
         "load_strategy",
@@ -56,8 +61,8 @@ def advance_marks(config: DataFrame, times: DataFrame, as_of: datetime) -> DataF
     load is stamped with the run's own time; inactive sources stay.
     """
     seen = (
-        times.join(active(config).select("target_table"), "target_table")
-        .groupBy("target_table")
+        times.join(active(config).select(*SOURCE), SOURCE)
+        .groupBy(*SOURCE)
         .agg(F.max("loaded").alias("_seen"))
     )
     run = F.lit(as_of).cast("timestamp_ntz")
@@ -70,7 +75,7 @@ def advance_marks(config: DataFrame, times: DataFrame, as_of: datetime) -> DataF
         .otherwise(run)
     )
     return (
-        config.join(seen, "target_table", "left")
+        config.join(seen, SOURCE, "left")
         .withColumn("last_loaded_at", moved)
         .select(*config.columns)
     )

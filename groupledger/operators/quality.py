@@ -33,7 +33,8 @@ class Accepted:
 
 @dataclass(frozen=True)
 class Between:
-    """Bounds are part of the range; a number or a date. Text is read as a number."""
+    """Bounds are part of the range; a number or a date. Text is read as a number, and text
+    that is none fails."""
 
     column: str
     low: Any
@@ -43,7 +44,9 @@ class Between:
     def fails(self, schema: T.StructType) -> Column:
         value = F.col(self.column)
         if isinstance(schema[self.column].dataType, T.StringType):
-            value = value.try_cast("double")
+            number = value.try_cast("double")
+            within = number.between(F.lit(self.low), F.lit(self.high))
+            return value.isNotNull() & ~F.coalesce(within, F.lit(False))
         return ~value.between(F.lit(self.low), F.lit(self.high))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +19,22 @@ from . import entities, marts_business as business, marts_group as group, stagin
 
 @dataclass(frozen=True)
 class Settings:
-    """Calendar range (end left out) and the day that stands for today."""
+    """Calendar range (end left out), the day that stands for today, and the day before
+    which rates end: the day after today, unless given."""
 
     calendar_start: date = date(2018, 1, 1)
     calendar_end: date = date(2030, 12, 31)
     as_of: date = field(default_factory=date.today)
+    rates_end: date | None = None
 
     @property
     def days(self) -> int:
         return (self.calendar_end - self.calendar_start).days
 
+    @property
+    def quoted_until(self) -> date:
+        return min(self.rates_end or self.as_of + timedelta(days=1), self.calendar_end)
+
 
 class Warehouse:
     """Datasets by name, each defined once.
@@ -81,17 +87,17 @@ class Warehouse:
 
     @cached_property
     def subsidiaries(self) -> DataFrame:
-        return subsidiaries(self.spark)
+        return self._kept.get("ent_subsidiary") or subsidiaries(self.spark)
 
     @cached_property
     def gl_mapping(self) -> DataFrame:
-        return gl_mapping(self.spark)
+        return self._kept.get("gl_account_mapping") or gl_mapping(self.spark)
 
     @property
     def fx_rates(self) -> DataFrame:
         def make() -> DataFrame:
             s = self.settings
-            return prepare_rates(self.quotes, s.calendar_start, s.calendar_end)
+            return prepare_rates(self.quotes, s.calendar_start, s.quoted_until)
 
         return self._keep("fx_rates", make)
 

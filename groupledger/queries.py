@@ -52,7 +52,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             spark,
             testtables.bronze(spark, sf_dir),
             testtables.fx_quotes(spark, sf_dir),
-            Settings(testtables.CALENDAR_START, testtables.CALENDAR_END, testtables.AS_OF),
+            Settings(
+                testtables.CALENDAR_START, testtables.CALENDAR_END, testtables.AS_OF,
+                testtables.RATES_END,
+            ),
             store=_folder(spark, f"warehouse-{label}"),
         )
     return _open[key]
@@ -176,15 +179,17 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order and line number repeat in the lines, so every load brings new
-    versions of keys that are already there."""
+    """Order and line number repeat in the lines, so the later load brings new versions
+    of keys that are already in the stored table."""
     lines = testtables.tables(spark, sf_dir, "lineitem")[0].select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"
     )
     keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate"]
     shipped = F.col("l_shipdate")
-    target = incremental.latest_per_key(lines.filter(shipped <= _at(CUT)), keys, order)
-    return incremental.upsert(target, lines.filter(shipped > _at(CUT)), keys, order)
+    path = _scratch(spark, "lines")
+    create_keyed_table(lines.filter(shipped <= _at(CUT)), path, keys, order)
+    merge_table(spark, path, lines.filter(shipped > _at(CUT)), keys, order, run_id="later")
+    return read_keyed_table(spark, path, lines.schema)
 
 
 def config_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,18 +255,27 @@ def touched_period_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def touched_period_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cost-centre totals refreshed by month; growth and shares over all months."""
+    """Cost-centre totals over a stored fact: built from the rows up to mid-month, then, after
+    the later ones are merged into the fact, refreshed for the months that they changed."""
     w = warehouse(spark, sf_dir)
-    path, facts = _scratch(spark, "spend"), w.transactions
+    path, facts = _scratch(spark, "spend"), refresh.with_month(w.transactions)
+    mart, order = f"{path}/totals", ["_loaded_at"]
 
     def build(rows: DataFrame, calendar: DataFrame) -> DataFrame:
         return marts_group.cost_center_totals(rows, w.products, calendar, w.days)
 
+    def totals(now: datetime) -> DataFrame:
+        months = refresh.changed_months(spark, f"{path}/fact", mart)
+        stored = refresh.facts_by_month(spark, f"{path}/fact")
+        built = refresh.built_from(spark, f"{path}/fact")
+        return refresh.refresh_periods(spark, mart, stored, w.calendar, build, now, months, built)
+
     known = facts.filter(F.col("_loaded_at") <= _at(MID_MONTH))
-    refresh.refresh_periods(spark, path, known, w.calendar, build, FIRST_RUN, None)
-    later = _months_after(facts)
-    totals = refresh.refresh_periods(spark, path, facts, w.calendar, build, SECOND_RUN, later)
-    return marts_group.with_spend_shares(totals.drop("load_timestamp"))
+    create_keyed_table(known, f"{path}/fact", refresh.FACT_KEY, order, refresh.FACT_LAYOUT)
+    totals(FIRST_RUN)
+    later = incremental.newer_than(facts, "_loaded_at", MID_MONTH)
+    merge_table(spark, f"{path}/fact", later, refresh.FACT_KEY, order, "later")
+    return marts_group.with_spend_shares(totals(SECOND_RUN).drop("load_timestamp"))
 
 
 def stream_available_now_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,29 @@
-"""Stored tables on plain Parquet: full rebuilds, views, keyed merges, namespaces."""
+"""Stored tables on plain Parquet: full rebuilds, views, keyed merges, namespaces.
+
+All of them are versioned (``snapshots``): nothing that a reader may hold is overwritten.
+"""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Sequence
+import math
+import uuid
+from collections import Counter
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.incremental import latest_per_key, replace_by_key
+from . import snapshots
+from .snapshots import Snapshot, Unit, folder_of
 
 DEFAULT_LAYER = "analytics"
 LAYERS = ("bronze", "integration", "marts", "control")
 BUCKET = "_bucket"
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+PAGE = "_page"
+#: Rows of a bucket, of a page of the key list, and writes in a partition before they are joined.
+BUCKET_ROWS, PAGE_ROWS, DELTAS = 1_000_000, 4_000_000, 8
+PAGES = 4096
 
 
 def layer(custom: str | None = None, default: str = DEFAULT_LAYER) -> str:
@@ -27,23 +37,48 @@ def table_path(root: str, custom_layer: str | None, table: str) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished table lies at the path."""
-    jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+    return snapshots.current(spark, path) is not None
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    """The table's version of now, which the rows stay those of."""
+    found = snapshots.current(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return snapshots.read(spark, path, found, schema)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the table at the path and return it as stored."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return read_table(df.sparkSession, path, df.schema).select(*df.columns)
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), note: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Replace the table at the path and return it as stored. The rows may come from the
+    table itself, since its files stay until they are vacuumed."""
+    spark = df.sparkSession
+    before = snapshots.current(spark, path)
+    units = snapshots.write_rows(df, path, partition_by)
+    gone = before.units if before else ()
+    new = snapshots.commit(spark, path, before, Snapshot(
+        df.schema, tuple(partition_by), tuple(units), note=note or {},
+        touched=_folders([*units, *gone]),
+    ))
+    return snapshots.read(spark, path, new)
+
+
+def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Add rows to a table, or begin it; the files there stay as they are."""
+    spark = df.sparkSession
+    before = snapshots.current(spark, path)
+    if before is None:
+        return write_table(df, path, partition_by)
+    units = snapshots.write_rows(df.select(*before.schema.names), path, before.by)
+    new = snapshots.commit(spark, path, before, replace(
+        before, units=(*before.units, *units), touched=_folders(units), opened=()
+    ))
+    return snapshots.read(spark, path, new)
+
+
+def _folders(units: Iterable[Unit]) -> tuple[str, ...]:
+    return tuple(sorted({u.folder for u in units}))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -52,16 +87,46 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def publish(spark: SparkSession, name: str, path: str) -> None:
-    """Make a stored table known to the catalog, so that SQL can name it.
+    """Make a stored table's version of now known to the catalog, so that SQL can name it.
 
-    The catalog entry is made anew, which takes up new columns and partitions;
-    the files stay as they are.
+    The name becomes a view of that version's files. It is replaced in one step, so a query
+    finds either the version before or this one.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    if any(c.isPartition for c in spark.catalog.listColumns(name)):
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    found = snapshots.current(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    columns = [f for f in found.schema if f.name not in (BUCKET,)]
+    writes: dict[str, list[Unit]] = {}
+    for unit in found.units:
+        writes.setdefault(unit.write, []).append(unit)
+    parts = [_as_sql(spark, path, found, columns, write, units) for write, units in sorted(writes.items())]
+    if not parts:
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns)
+        parts = [f"SELECT {nothing} WHERE false"]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(parts))
+
+
+def _as_sql(
+    spark: SparkSession, path: str, of: Snapshot, columns: Sequence[T.StructField], write: str,
+    units: Sequence[Unit],
+) -> str:
+    """One write's rows that are in the table, in the table's layout."""
+    root = f"{path.rstrip('/')}/data/{snapshots.WRITE}={write}"
+    have = set(spark.read.parquet(root).columns) if sum(u.rows for u in units) else set()
+    chosen = ", ".join(
+        f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in columns
+    )
+    if not have:
+        return f"SELECT {chosen} WHERE false"
+    if not of.by:
+        return f"SELECT {chosen} FROM parquet.`{root}`"
+    folder = " || '/' || ".join(
+        f"'{c}=' || coalesce(CAST(`{c}` AS STRING), '{snapshots.NO_VALUE}')" for c in of.by
+    )
+    listed = ", ".join(f"'{u.folder}'" for u in units)
+    return f"SELECT {chosen} FROM parquet.`{root}` WHERE {folder} IN ({listed})"
 
 
 def ensure_databases(spark: SparkSession, names: Sequence[str] = LAYERS) -> None:
@@ -74,10 +139,6 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
 def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Bring the rows of one partition together before a partitioned write.
 
@@ -87,26 +148,108 @@ def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
+# Keyed tables
+
+
+def bucket(hash_: Column, buckets: int) -> Column:
+    """A key's bucket by linear hashing: a table grows from n to n + 1 buckets by splitting
+    one of them, and all other rows stay where they are."""
+    round_ = 1 << buckets.bit_length() - 1
+    wide = F.pmod(hash_, F.lit(2 * round_))
+    return F.when(wide < buckets, wide).otherwise(wide - round_).cast("int")
+
+
+def split_from(old: int, new: int) -> set[int]:
+    """The buckets of old that rows move out of when there are new ones."""
+    out = set()
+    for number in range(old, new):
+        while number >= old:
+            number -= 1 << number.bit_length() - 1
+        out.add(number)
+    return out
+
+
 def create_keyed_table(
     df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
-    partition_by: Sequence[str] = (), buckets: int = 16,
+    partition_by: Sequence[str] = (), target_rows: int = BUCKET_ROWS, run_id: str | None = None,
+    note: Callable[[DataFrame], Mapping[str, object]] | None = None,
 ) -> None:
     """First load of a table for ``merge_table``: the latest row of every key.
 
-    Rows are laid out by ``partition_by``, or by a hash of the key without it. What
-    merges into an earlier table at the path left aside goes.
+    Rows are laid out by ``partition_by``, or by a hash of the key in buckets of about
+    ``target_rows`` without it. A table that lies at the path already is replaced.
     """
-    _remove(df.sparkSession, _side(path))
-    by, rows = _laid_out(latest_per_key(df, keys, order), keys, partition_by, buckets)
-    write_table(gathered(rows, by), path, by)
-
-
-def _laid_out(
-    df: DataFrame, keys: Sequence[str], partition_by: Sequence[str], buckets: int
-) -> tuple[list[str], DataFrame]:
-    if partition_by:
-        return list(partition_by), df
-    return [BUCKET], with_bucket(df, keys, buckets)
+    spark = df.sparkSession
+    before = snapshots.current(spark, path)
+    buckets = None if partition_by else max(1, math.ceil(df.count() / target_rows))
+    by = tuple(partition_by) or (BUCKET,)
+    rows = _laid_out(latest_per_key(df, keys, order), keys, buckets)
+    units = snapshots.write_rows(gathered(rows, by), path, by)
+    made = Snapshot(
+        rows.schema, by, tuple(units), tuple(keys), buckets, target_rows, touched=_folders(units),
+        run_id=run_id,
+    )
+    if note:
+        made = replace(made, note=note(snapshots.read(spark, path, made)))
+    snapshots.commit(spark, path, before, replace(made, pages=_list_keys(spark, path, made, units)))
+
+
+def _laid_out(df: DataFrame, keys: Sequence[str], buckets: int | None) -> DataFrame:
+    if buckets is None:
+        return df
+    return df.drop(BUCKET).withColumn(BUCKET, bucket(F.xxhash64(*keys), buckets))
+
+
+def _page(hash_: Column, pages: int) -> Column:
+    """The range of hashes that a hash lies in; pages is a power of two."""
+    return F.shiftrightunsigned(F.shiftrightunsigned(hash_, 1), 64 - pages.bit_length()).cast("int")
+
+
+def _list_keys(spark: SparkSession, path: str, of: Snapshot, units: Sequence[Unit]) -> dict[str, int]:
+    """Write the hashes of a write's keys beside it, by range of hashes, with the partition
+    of each: 8 bytes a row, so that a merge need not read the table to find its keys."""
+    if not units or not sum(u.rows for u in units):
+        return {}
+    write, rows = units[0].write, sum(u.rows for u in units)
+    pages = min(PAGES, 1 << max(0, math.ceil(rows / PAGE_ROWS) - 1).bit_length())
+    hash_ = F.xxhash64(*of.keys).alias("h")
+    listed = snapshots.read_units(spark, path, of.by, units, of.schema).select(
+        hash_, folder_of(of.by).alias("folder")
+    ).withColumn(PAGE, _page(F.col("h"), pages))
+    listed.hint("rebalance", PAGE).sortWithinPartitions(PAGE, "folder", "h").write.partitionBy(PAGE).parquet(
+        f"{path.rstrip('/')}/keys/{snapshots.WRITE}={write}"
+    )
+    return {write: pages}
+
+
+def units_with(spark: SparkSession, path: str, of: Snapshot, fresh: DataFrame) -> set[Unit]:
+    """The units that hold a key of fresh, found in the key lists.
+
+    Of the lists only the pages that the keys' hashes lie in are read. What reaches the
+    driver is bounded by the numbers of pages and of units."""
+    if not of.pages:
+        return set()
+    hashes = fresh.select(F.xxhash64(*of.keys).alias("h"))
+    most = max(of.pages.values())
+    seen = [r[0] for r in hashes.select(_page(F.col("h"), most)).distinct().collect()]
+    held = _listed_keys(spark, path, of, seen).join(hashes.distinct(), "h", "left_semi")
+    found = {(r.folder, r[snapshots.WRITE]) for r in held.select("folder", snapshots.WRITE).distinct().collect()}
+    return {u for u in of.units if (u.folder, u.write) in found}
+
+
+def _listed_keys(spark: SparkSession, path: str, of: Snapshot, seen: Sequence[int]) -> DataFrame:
+    """The key lists' pages for some pages of the finest list."""
+    most, wanted = max(of.pages.values()), F.lit(False)
+    for pages in set(of.pages.values()):
+        writes = [w for w, p in of.pages.items() if p == pages]
+        near = sorted({s >> (most.bit_length() - pages.bit_length()) for s in seen})
+        wanted = wanted | (F.col(snapshots.WRITE).isin(writes) & F.col(PAGE).isin(near))
+    root = f"{path.rstrip('/')}/keys"
+    lists = (
+        spark.read.schema(f"h long, folder string, {snapshots.WRITE} string, {PAGE} int")
+        .option("basePath", root).parquet(*[f"{root}/{snapshots.WRITE}={w}" for w in of.pages])
+    )
+    return lists.filter(wanted)
 
 
 def merge_table(
@@ -116,122 +259,82 @@ def merge_table(
     keys: Sequence[str],
     order: Sequence[str],
     run_id: str,
-    partition_by: Sequence[str] = (),
-    buckets: int = 16,
     keep_latest: bool = False,
-) -> None:
-    """Keyed upsert that rewrites only the partitions the batch changes.
-
-    Those are the partitions of the batch's rows and, where a partition column
-    is not part of the key, the ones the batch's keys lie in so far. The batch's
-    row takes the place of the stored one; with ``keep_latest`` only if it is not
-    older by ``order``.
-
-    A side folder takes first the batch, one row per key, so that it is computed
-    once, then the list of partitions, then the merged partitions, which at last
-    replace the table's; a mark tells that they all did. A merge that finds merged
-    partitions without the mark first puts them in place, so a driver lost
-    meanwhile loses no row, whichever run comes next. So does a repeat of the last
-    run. The batch handed in is always merged, whatever its run id.
+    note: Callable[[DataFrame], Mapping[str, object]] | None = None,
+) -> Snapshot:
+    """Keyed upsert that opens only what holds keys of the batch.
+
+    The batch's row takes the place of the stored one; with ``keep_latest`` only if it is not
+    older by ``order``. Rows with new keys are added as files of their own; the partitions'
+    units that hold one of the keys are read and written anew. A partition of more than
+    DELTAS units is joined to one when rows come to it. A table laid out by a hash of the key
+    grows by splitting buckets. The version after is in place when all of it is written, so a
+    merge that is lost half-way has changed nothing, and one that is repeated merges again.
+
+    The batch is stored aside first, one row per key, so that it is computed once; ``note``
+    is worked out from it and kept in the version.
     """
-    side = _side(path)
-    by, rows = _laid_out(batch, keys, partition_by, buckets)
-    layout = rows.schema
-    write_table(latest_per_key(rows, keys, order), f"{side}/batch")
-    _finish_last(spark, path, run_id)
-    for folder in ("merged", "touched", "run", "done"):
-        _remove(spark, f"{side}/{folder}/_SUCCESS")  # from here on it counts as missing
-        _remove(spark, f"{side}/{folder}")
-    fresh = read_table(spark, f"{side}/batch", layout).select(*rows.columns)
-    target = read_table(spark, path, layout).select(*rows.columns)
-    touched = fresh.select(*by)
-    if not set(by) <= {*keys, BUCKET}:
-        left = target.select(*keys, *by).join(fresh.select(*keys), list(keys), "left_semi")
-        touched = touched.unionByName(left.select(*by))
-    write_table(touched.distinct(), f"{side}/touched")
-    run = spark.createDataFrame(
-        [(run_id, layout.json(), by)], "run_id string, layout string, by array<string>"
-    )
-    write_table(run, f"{side}/run")
-    old = target.filter(_folder(by).isin(_partitions(read_table(spark, f"{side}/touched"), by)))
+    before = snapshots.current(spark, path)
+    if before is None:
+        raise FileNotFoundError(f"no table at {path}")
+    if before.keys != tuple(keys):
+        raise ValueError(f"{path} is keyed by {before.keys}, not by {tuple(keys)}")
+    work = f"{path.rstrip('/')}/work/{uuid.uuid4().hex[:16]}"
+    once = latest_per_key(batch, keys, order)
+    once.write.parquet(work)
+    fresh = spark.read.schema(once.schema).parquet(work)
+    count = fresh.count()
+    buckets = before.buckets
+    if buckets is not None:
+        buckets = max(buckets, math.ceil((before.rows + count) / before.target_rows))
+    layout = _laid_out(fresh, keys, buckets)
+    coming = [r[0] for r in layout.select(folder_of(before.by)).distinct().collect()]
+    snapshots.plain_folders(coming, before.by)
+
+    opened = units_with(spark, path, before, fresh)
+    deltas = Counter(u.folder for u in before.units)
+    full = {f for f in coming if deltas[f] >= DELTAS}
+    if buckets != before.buckets:
+        full |= {f"{BUCKET}={b}" for b in split_from(before.buckets, buckets)}
+    opened |= {u for u in before.units if u.folder in full}
+
+    old = snapshots.read_units(spark, path, before.by, opened, fresh.schema)
     if keep_latest:
         merged = latest_per_key(old.unionByName(fresh), keys, order)
     else:
         merged = replace_by_key(old, fresh, keys)
-    write_table(gathered(merged, by), f"{side}/merged", by)
-    _put_in_place(spark, path)
-
-
-def _side(path: str) -> str:
-    return f"{path.rstrip('/')}__merge"
-
-
-def _finish_last(spark: SparkSession, path: str, run_id: str) -> None:
-    """Put the last merge's partitions in place if it was cut off or is this very run.
-    No other merge has changed the table since."""
-    side = _side(path)
-    if exists(spark, f"{side}/merged"):
-        last = read_table(spark, f"{side}/run").first()
-        if last.run_id == run_id or not exists(spark, f"{side}/done"):
-            _put_in_place(spark, path)
-
-
-def _put_in_place(spark: SparkSession, path: str) -> None:
-    side = _side(path)
-    run = read_table(spark, f"{side}/run")
-    last = run.first()
-    layout = T.StructType.fromJson(json.loads(last.layout))
-    merged = read_table(spark, f"{side}/merged", layout).select(*layout.names)
-    _overwrite(merged, path, last.by, read_table(spark, f"{side}/touched"))
-    write_table(run.select("run_id"), f"{side}/done")
-
-
-def _overwrite(df: DataFrame, path: str, by: Sequence[str], listed: DataFrame) -> None:
-    """Put stored rows in place of the table's partitions; listed ones without rows go."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *by
-    ).parquet(path)
-    for folder in set(_partitions(listed, by)) - set(_partitions(df, by)):
-        _remove(df.sparkSession, f"{path.rstrip('/')}/{folder}")
-
-
-def _folder(by: Sequence[str]) -> Column:
-    """A row's partition folder, as Spark names it for plain values."""
-    parts = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in by
-    ]
-    return F.concat_ws("/", *parts)
-
-
-def _partitions(df: DataFrame, by: Sequence[str]) -> list[str]:
-    """Partition folders that occur. The driver lists a table's folders in any
-    case, so this is no more than it already holds."""
-    names = [row[0] for row in df.select(_folder(by)).distinct().collect()]
-    plain = re.compile("/".join([r"\w+=[\w.-]+"] * len(by)))
-    odd = [name for name in names if not plain.fullmatch(name)]
-    if odd:  # Spark would spell their folders otherwise
-        raise ValueError(f"partition values must be plain words, numbers or dates: {odd[:3]}")
-    return names
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete a file or folder, if it is there."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    rows = _laid_out(merged, keys, buckets)
+    units = snapshots.write_rows(gathered(rows, before.by), path, before.by)
+    kept = tuple(u for u in before.units if u not in opened)
+    made = replace(
+        before, schema=rows.schema, units=(*kept, *units), buckets=buckets, run_id=run_id,
+        touched=_folders([*units, *opened]), opened=tuple(sorted(opened)),
+        note={**before.note, **(note(fresh) if note else {})},
+    )
+    writes = {u.write for u in made.units}
+    pages = {w: p for w, p in before.pages.items() if w in writes}
+    pages |= _list_keys(spark, path, made, units)
+    new = snapshots.commit(spark, path, before, replace(made, pages=pages))
+    snapshots.remove(spark, work)
+    return new
 
 
 def replace_partitions(
-    df: DataFrame, path: str, by: Sequence[str], listed: DataFrame
+    df: DataFrame, path: str, by: Sequence[str], listed: DataFrame,
+    note: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Put df's rows in place of the listed partitions; the others stay as they are.
-
-    The rows are stored aside first, so that they are computed once. A listed
-    partition without rows goes.
-    """
-    aside = f"{path.rstrip('/')}__part"
-    _overwrite(write_table(gathered(df, by), aside, by), path, by, listed)
-    _remove(df.sparkSession, aside)
-    return read_table(df.sparkSession, path, df.schema).select(*df.columns)
+    """Put df's rows in place of the listed partitions; the others stay as they are. A listed
+    partition without rows goes."""
+    spark = df.sparkSession
+    before = snapshots.current(spark, path)
+    names = {r[0] for r in listed.select(folder_of(by)).distinct().collect()}
+    units = snapshots.write_rows(gathered(df, by), path, by)
+    names |= {u.folder for u in units}
+    kept = [u for u in before.units if u.folder not in names]
+    new = snapshots.commit(spark, path, before, Snapshot(
+        df.schema, tuple(by), (*kept, *units), touched=tuple(sorted(names)), note=note or {},
+    ))
+    return snapshots.read(spark, path, new)
 
 
 def read_keyed_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

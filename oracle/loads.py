@@ -12,12 +12,12 @@ FACT_COLUMNS = (
 
 COUNTED = """
 times AS (
-  SELECT 'raw_sub_a_sales' AS target_table, updated_at AS loaded FROM raw_a
-  UNION ALL SELECT 'raw_sub_a_customers', CAST(NULL AS TIMESTAMP) FROM raw_a_cust
-  UNION ALL SELECT 'raw_sub_b_shipments', modified_ts FROM raw_b
-  UNION ALL SELECT 'raw_sub_c_loans', last_updated FROM raw_c
-  UNION ALL SELECT 'raw_sub_d_orders', change_date FROM raw_d
-  UNION ALL SELECT 'raw_sub_e_leases', CAST(NULL AS TIMESTAMP) FROM raw_e
+  SELECT 'SUB_A' AS subsidiary_code, 'raw_sub_a_sales' AS target_table, updated_at AS loaded FROM raw_a
+  UNION ALL SELECT 'SUB_A', 'raw_sub_a_customers', CAST(NULL AS TIMESTAMP) FROM raw_a_cust
+  UNION ALL SELECT 'SUB_B', 'raw_sub_b_shipments', modified_ts FROM raw_b
+  UNION ALL SELECT 'SUB_C', 'raw_sub_c_loans', last_updated FROM raw_c
+  UNION ALL SELECT 'SUB_D', 'raw_sub_d_orders', change_date FROM raw_d
+  UNION ALL SELECT 'SUB_E', 'raw_sub_e_leases', CAST(NULL AS TIMESTAMP) FROM raw_e
 ),
 cfg(subsidiary_code, source_schema, source_table, target_schema, target_table, load_strategy,
     incremental_column, primary_key_column, active, last_loaded_at) AS (
@@ -75,13 +75,13 @@ SELECT subs.*, count(*) AS transaction_count, min(transaction_date) AS first_tra
 SELECT subsidiary_code, target_table, load_strategy,
        count(t.target_table) FILTER (WHERE load_strategy <> 'INCREMENTAL' OR incremental_column IS NULL
          OR last_loaded_at IS NULL OR loaded > last_loaded_at) AS new_rows
-FROM cfg LEFT JOIN times t USING (target_table) WHERE active
+FROM cfg LEFT JOIN times t USING (subsidiary_code, target_table) WHERE active
 GROUP BY subsidiary_code, target_table, load_strategy""", COUNTED),
     "ingest_watermarks": query("""
 SELECT cfg.* REPLACE (CASE WHEN NOT active THEN last_loaded_at
   WHEN load_strategy = 'INCREMENTAL' THEN greatest(last_loaded_at, seen)
   ELSE TIMESTAMP '2002-01-02' END AS last_loaded_at)
-FROM cfg LEFT JOIN (SELECT target_table, max(loaded) AS seen FROM times GROUP BY 1) USING (target_table)""", COUNTED),
+FROM cfg LEFT JOIN (SELECT subsidiary_code, target_table, max(loaded) AS seen FROM times GROUP BY ALL) USING (subsidiary_code, target_table)""", COUNTED),
     "config_merge": query("""
 SELECT * FROM early UNION ALL
 SELECT * FROM prod p WHERE NOT EXISTS (SELECT 1 FROM early e WHERE e.product_key = p.product_key

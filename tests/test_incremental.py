@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from groupledger.operators import control, incremental
 from groupledger.operators.calendar import calendar
-from groupledger.operators.fx import prepare_rates
+from groupledger.operators.fx import prepare_rates, to_home_currency
 from groupledger.operators.joins import absent, insert_if_absent
 from groupledger.plans.refresh import refresh_periods
+from groupledger.sources import snapshots
 from groupledger.sources.reference_rows import ingestion_config
 from groupledger.sources.tables import (
-    create_keyed_table, exists, layer, merge_table, read_keyed_table, table_path, write_table,
+    create_keyed_table, exists, layer, merge_table, read_keyed_table, read_table, table_path,
+    write_table,
 )
 from groupledger.streaming.available_now import upsert_available
 
@@ -84,37 +86,21 @@ def test_schema_changes(rows):
 
 def test_merge_rewrites_and_repeats(spark, rows, tmp_path):
     path, keys, order = str(tmp_path / "t"), ["k"], ["t"]
-    create_keyed_table(rows(KEYED, *[(i, "old", 1) for i in range(50)]), path, keys, order, buckets=4)
+    create_keyed_table(rows(KEYED, *[(i, "old", 1) for i in range(50)]), path, keys, order)
     schema = rows(KEYED, (0, "", 0)).schema
     batch = rows(KEYED, (3, "new", 2), (99, "new", 2))
-    merge_table(spark, path, batch, keys, order, "r1", buckets=4)
+    merge_table(spark, path, batch, keys, order, "r1")
     merged = as_list(read_keyed_table(spark, path, schema))
     assert len(merged) == 51 and (3, "new", 2) in merged and (99, "new", 2) in merged
-    merge_table(spark, path, batch, keys, order, "r1", buckets=4)
+    merge_table(spark, path, batch, keys, order, "r1")
     assert as_list(read_keyed_table(spark, path, schema)) == merged
 
 
-def test_lost_run_is_finished_from_its_side_folder(spark, rows, tmp_path):
-    """The run died after writing its side folder and losing one of the table's partitions."""
-    path, keys, order = str(tmp_path / "t"), ["p", "k"], ["t"]
-    ddl = "p int, k int, v string, t int"
-    start = rows(ddl, *[(i % 3, i, "old", 1) for i in range(30)])
-    create_keyed_table(start, path, keys, order, partition_by=["p"])
-    merge_table(spark, path, rows(ddl, (0, 0, "new", 2)), keys, order, "r1", ["p"])
-    whole = as_list(read_keyed_table(spark, path, start.schema))
-    lost = rows(ddl, (0, 0, "broken", 9))
-    lost.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "p").parquet(path)
-    assert len(as_list(read_keyed_table(spark, path, start.schema))) < 30
-    merge_table(spark, path, rows(ddl, (0, 0, "new", 2)), keys, order, "r1", ["p"])
-    assert as_list(read_keyed_table(spark, path, start.schema)) == whole
-
-
 def test_merge_with_a_changed_layout(spark, rows, tmp_path):
     path = str(tmp_path / "t")
-    create_keyed_table(rows("k int, y string", (1, "y"), (2, "y")), path, ["k"], ["y"], buckets=1)
+    create_keyed_table(rows("k int, y string", (1, "y"), (2, "y")), path, ["k"], ["y"])
     batch = rows("k int, x string", (2, "x"))
-    merge_table(spark, path, batch, ["k"], ["x"], "r1", buckets=1)
+    merge_table(spark, path, batch, ["k"], ["x"], "r1")
     assert as_set(read_keyed_table(spark, path, batch.schema)) == {(1, None), (2, "x")}
 
 
@@ -124,52 +110,38 @@ def test_key_moves_to_another_partition(spark, rows, tmp_path):
     a, b, c = day("2024-01-01"), day("2024-02-01"), day("2024-03-01")
     start = rows(ddl, (1, a, 1), (2, b, 1), (3, b, 1), (4, c, 1), (5, None, 1))
     create_keyed_table(start, path, keys, order, ["m"])
-    kept = set((tmp_path / "t" / "m=2024-03-01").iterdir())
+    before = snapshots.current(spark, path)
+    march = [u for u in before.units if u.folder == "m=2024-03-01"]
     for _ in range(2):  # the second time as a repeated run
-        merge_table(spark, path, rows(ddl, (1, b, 2), (5, a, 2), (6, b, 2), (6, b, 1)), keys, order, "r1", ["m"])
+        merge_table(spark, path, rows(ddl, (1, b, 2), (5, a, 2), (6, b, 2), (6, b, 1)), keys, order, "r1")
         got = read_keyed_table(spark, path, start.schema)
         assert as_set(got) == {(1, b, 2), (2, b, 1), (3, b, 1), (4, c, 1), (5, a, 2), (6, b, 2)}
-    merge_table(spark, path, rows(ddl, (5, b, 3)), keys, order, "r2", ["m"])
+    merge_table(spark, path, rows(ddl, (5, b, 3)), keys, order, "r2")
     assert as_set(read_keyed_table(spark, path, start.schema)) == {
         (1, b, 2), (2, b, 1), (3, b, 1), (4, c, 1), (5, b, 3), (6, b, 2)}
-    assert {p.name for p in (tmp_path / "t").iterdir() if "=" in p.name} == {
-        "m=2024-02-01", "m=2024-03-01"}
-    assert set((tmp_path / "t" / "m=2024-03-01").iterdir()) == kept  # never rewritten
+    now = snapshots.current(spark, path)
+    assert {u.folder for u in now.units} == {"m=2024-02-01", "m=2024-03-01"}
+    assert [u for u in now.units if u.folder == "m=2024-03-01"] == march  # never rewritten
 
 
 def test_reused_run_id_loses_no_row(spark, rows, tmp_path):
     path, keys, order = str(tmp_path / "t"), ["k"], ["t"]
     start = rows(KEYED, (1, "old", 1), (2, "old", 1))
-    create_keyed_table(start, path, keys, order, buckets=1)
-    merge_table(spark, path, rows(KEYED, (1, "new", 2)), keys, order, "day1", buckets=1)
-    merge_table(spark, path, rows(KEYED, (2, "new", 3)), keys, order, "day2", buckets=1)
-    merge_table(spark, path, rows(KEYED, (9, "new", 4)), keys, order, "day1", buckets=1)
-    merge_table(spark, path, rows(KEYED, (8, "new", 4)), keys, order, "day1", buckets=1)
+    create_keyed_table(start, path, keys, order)
+    merge_table(spark, path, rows(KEYED, (1, "new", 2)), keys, order, "day1")
+    merge_table(spark, path, rows(KEYED, (2, "new", 3)), keys, order, "day2")
+    merge_table(spark, path, rows(KEYED, (9, "new", 4)), keys, order, "day1")
+    merge_table(spark, path, rows(KEYED, (8, "new", 4)), keys, order, "day1")
     assert as_list(read_keyed_table(spark, path, start.schema)) == [
         (1, "new", 2), (2, "new", 3), (8, "new", 4), (9, "new", 4)]
 
 
-def test_cut_off_run_is_finished_by_the_next_one(spark, rows, tmp_path, monkeypatch):
-    path, keys, order = str(tmp_path / "t"), ["p", "k"], ["t"]
-    ddl = "p int, k int, v string, t int"
-    start = rows(ddl, (0, 0, "old", 1), (0, 3, "old", 1), (1, 1, "old", 1))
-    create_keyed_table(start, path, keys, order, ["p"])
-    with monkeypatch.context() as cut:
-        cut.setattr("groupledger.sources.tables._put_in_place", lambda *_: None)
-        merge_table(spark, path, rows(ddl, (0, 0, "new", 2)), keys, order, "r1", ["p"])
-    rows(ddl, (0, 0, "new", 2)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("p").parquet(path)  # half of a folder
-    merge_table(spark, path, rows(ddl, (1, 1, "new", 3)), keys, order, "r2", ["p"])
-    assert as_list(read_keyed_table(spark, path, start.schema)) == [
-        (0, 0, "new", 2), (0, 3, "old", 1), (1, 1, "new", 3)]
-
-
 def test_new_table_forgets_merges_into_the_old_one(spark, rows, tmp_path):
     path, keys, order = str(tmp_path / "t"), ["k"], ["t"]
-    create_keyed_table(rows(KEYED, (1, "a", 1)), path, keys, order, buckets=1)
-    merge_table(spark, path, rows(KEYED, (2, "b", 1)), keys, order, "r1", buckets=1)
-    create_keyed_table(rows(KEYED, (5, "c", 1)), path, keys, order, buckets=1)
-    merge_table(spark, path, rows(KEYED, (6, "d", 1)), keys, order, "r1", buckets=1)
+    create_keyed_table(rows(KEYED, (1, "a", 1)), path, keys, order)
+    merge_table(spark, path, rows(KEYED, (2, "b", 1)), keys, order, "r1")
+    create_keyed_table(rows(KEYED, (5, "c", 1)), path, keys, order)
+    merge_table(spark, path, rows(KEYED, (6, "d", 1)), keys, order, "r1")
     assert as_list(read_keyed_table(spark, path, rows(KEYED).schema)) == [(5, "c", 1), (6, "d", 1)]
 
 
@@ -177,7 +149,7 @@ def test_keep_latest_across_batches_and_partitions(spark, rows, tmp_path):
     path, ddl = str(tmp_path / "t"), "k int, p int, t int"
     create_keyed_table(rows(ddl, (1, 0, 9), (2, 0, 1)), path, ["k"], ["t"], ["p"])
     late = rows(ddl, (1, 1, 2), (2, 1, 2), (3, 1, 1))
-    merge_table(spark, path, late, ["k"], ["t"], "r1", ["p"], keep_latest=True)
+    merge_table(spark, path, late, ["k"], ["t"], "r1", keep_latest=True)
     assert as_set(read_keyed_table(spark, path, late.schema)) == {(1, 0, 9), (2, 1, 2), (3, 1, 1)}
 
 
@@ -185,7 +157,7 @@ def test_odd_partition_values_are_refused(spark, rows, tmp_path):
     path, ddl = str(tmp_path / "t"), "k int, p string"
     create_keyed_table(rows(ddl, (1, "a")), path, ["k"], ["p"], ["p"])
     with pytest.raises(ValueError):
-        merge_table(spark, path, rows(ddl, (1, "b/c")), ["k"], ["p"], "r1", ["p"])
+        merge_table(spark, path, rows(ddl, (1, "b/c")), ["k"], ["p"], "r1")
 
 
 def test_layers(spark, rows, tmp_path):
@@ -195,17 +167,19 @@ def test_layers(spark, rows, tmp_path):
     stored = write_table(rows("p int, v int", (1, 2), (2, 3)), path, ["p"])
     assert exists(spark, path) and stored.columns == ["p", "v"]
     write_table(rows("p int, v int", (5, 6)), path, ["p"])
-    assert as_list(spark.read.parquet(path).select("p", "v")) == [(5, 6)]
+    assert as_list(read_table(spark, path)) == [(5, 6)]
+    assert as_list(stored) == [(1, 2), (2, 3)]  # opened before
 
 
 def test_control_table(spark, rows):
     marks = {"raw_sub_a_sales": at("2024-01-02 00:00:00")}
     config = ingestion_config(spark, marks).filter("subsidiary_code = 'SUB_A'")
-    ddl = "updated_at timestamp_ntz"
+    ddl = "updated_at timestamp_ntz, _subsidiary_code string"
+    late = at("2024-01-09 00:00:00")
     times = control.load_times({
-        "raw_sub_a_sales": (rows(ddl, (at("2024-01-02 00:00:00"),), (at("2024-01-03 00:00:00"),)),
-                            "updated_at"),
-        "raw_sub_a_customers": (rows(ddl, (None,), (None,), (None,)), None),
+        "raw_sub_a_sales": (rows(ddl, (at("2024-01-02 00:00:00"), "SUB_A"), (at("2024-01-03 00:00:00"), "SUB_A"),
+                                 (late, "SUB_B"), (late, None)), "updated_at"),
+        "raw_sub_a_customers": (rows(ddl, (None, "SUB_A"), (None, "SUB_A"), (None, "SUB_A"), (None, "SUB_C")), None),
     })
     counts = control.new_row_counts(config, times)
     assert as_set(counts.select("target_table", "new_rows")) == {
@@ -224,6 +198,32 @@ def test_freshness(rows, hours, status):
     assert control.freshness(times, now).first().status == status
 
 
+def test_rates_are_intervals_between_quotes(rows):
+    """A quote before the start holds there, the last one to the end, later ones play no part."""
+    ddl = "rate_date date, `USDPHP=X` decimal(18,6), `EURPHP=X` decimal(18,6)"
+    quotes = rows(ddl, (day("2023-12-30"), Decimal("50"), None), (day("2024-01-03"), Decimal("40"), None),
+                  (day("2024-01-05"), Decimal("10"), Decimal("2")), (day("2024-01-03"), None, Decimal("8")))
+    tickers = {"USDPHP=X": "USD", "EURPHP=X": "EUR"}
+    got = prepare_rates(quotes, day("2024-01-01"), day("2024-01-05"), tickers)
+    assert {(r.from_currency, r.rate_date.day, int(r.usd_php_rate)) for r in got.collect()} == {
+        ("USD", 1, 50), ("USD", 2, 50), ("USD", 3, 40), ("USD", 4, 40),
+        ("EUR", 1, 8), ("EUR", 2, 8), ("EUR", 3, 8), ("EUR", 4, 8)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedfollowing" not in plan.lower()
+    early = prepare_rates(quotes, day("2024-01-01"), day("2024-01-03"), tickers)
+    assert {(r.from_currency, r.rate) for r in early.collect()} == {("USD", Decimal("0.02")), ("EUR", None)}
+    assert prepare_rates(quotes, day("2023-01-01"), day("2023-01-05"), tickers).count() == 0
+
+
+def test_amounts_that_do_not_fit_fail(rows):
+    facts = rows("transaction_date date, currency_code string, amount_local decimal(15,2)",
+                 (day("2024-01-01"), "USD", Decimal("9999999999999.99")))
+    rates = rows("rate_date date, from_currency string, rate decimal(18,8)",
+                 (day("2024-01-01"), "USD", Decimal("0.00000001")))
+    with pytest.raises(Exception, match="(?i)overflow|out of range|cannot be represented"):
+        to_home_currency(facts, rates, 1).collect()
+
+
 def test_rates_fill_gaps_both_ways(rows):
     quotes = rows("rate_date date, `USDPHP=X` decimal(18,6), `EURPHP=X` decimal(18,6)",
                   (day("2024-01-02"), Decimal("50"), None), (day("2024-01-04"), None, Decimal("4")))
@@ -256,7 +256,7 @@ def test_stream_takes_each_file_once_and_late_rows(spark, rows, tmp_path):
         rows(KEYED, *data).coalesce(1).write.mode("append").parquet(source)
 
     def run():
-        upsert_available(spark, source, schema, target, mark, ["k"], ["t"], buckets=2)
+        upsert_available(spark, source, schema, target, mark, ["k"], ["t"], target_rows=2)
         return as_list(read_keyed_table(spark, target, schema))
 
     arrive((1, "a", 5), (2, "a", 5))
@@ -272,7 +272,7 @@ def test_stream_keeps_later_versions_and_outlives_its_checkpoint(spark, rows, tm
 
     def arrive(mark, *data):
         rows(KEYED, *data).coalesce(1).write.mode("append").parquet(source)
-        upsert_available(spark, source, schema, target, str(tmp_path / mark), ["k"], ["t"], buckets=2)
+        upsert_available(spark, source, schema, target, str(tmp_path / mark), ["k"], ["t"], target_rows=2)
         return as_list(read_keyed_table(spark, target, schema))
 
     assert arrive("a", (1, "new", 9)) == [(1, "new", 9)]
