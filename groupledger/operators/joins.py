@@ -50,6 +50,41 @@ def hot_key_join(
     return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"]).drop("_salt")
 
 
+def ordered_pairs(
+    rows: DataFrame, on: Sequence[str], kind: str, split_by: str, names: tuple[str, str],
+    cell_rows: int = 2_000,
+) -> DataFrame:
+    """All pairs of rows that agree in ``on`` and differ in ``kind``, the lesser kind first:
+    the columns of ``on`` and those of both rows, prefixed by ``names``.
+
+    The pairs of a key make a grid, and a task makes one cell of it. A key's rows of one kind
+    are cut into blocks of about ``cell_rows``, by the hash of ``split_by`` (a stable column, so
+    a task that is run again cuts alike). Cells are only laid out for two kinds that both
+    occur, the lesser one down and the other across; each row goes once to every cell of its
+    row or column, and rows without a partner go nowhere. Keys that are NULL have no pairs.
+    """
+    on, (first, second) = list(on), names
+    sizes = rows.groupBy(*on, kind).agg(F.ceil(F.count("*") / F.lit(cell_rows)).cast("int").alias("_n"))
+
+    def sized(name: str) -> DataFrame:
+        return sizes.select(*on, F.col(kind).alias(f"_{name}"), F.col("_n").alias(f"_{name}_blocks"))
+
+    grids = sized("a").join(sized("b"), on).filter(F.col("_a") < F.col("_b"))
+
+    def dealt(own: str, other: str, prefix: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(split_by), F.col(f"_{own}_blocks")).cast("int")
+        cells = F.explode(F.sequence(F.lit(0), F.col(f"_{other}_blocks") - 1))
+        mine = grids.withColumnRenamed(f"_{own}", kind).withColumn(f"_{own}", F.col(kind))
+        joined = rows.join(mine, [*on, kind])
+        return joined.select(
+            *on, "_a", "_b", block.alias(f"_{own}_cell"), cells.alias(f"_{other}_cell"),
+            *[F.col(c).alias(f"{prefix}{c}") for c in rows.columns if c not in on],
+        )
+
+    cell = [*on, "_a", "_b", "_a_cell", "_b_cell"]
+    return dealt("a", "b", first).join(dealt("b", "a", second), cell).drop(*cell[len(on):])
+
+
 def absent(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of left whose key does not occur in right."""
     return left.join(right.select(*on).distinct(), list(on), "left_anti")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import month_boundaries, month_start
 from ..functions.numbers import average, money_sum, percent, ratio
 from ..operators.fx import HOME_CURRENCY, with_rate
-from ..operators.joins import bounded, hot_key_join
+from ..operators.joins import bounded, ordered_pairs
 from ..operators.windows import rank_desc, share_of_total, with_growth
 from ..schemas import MONEY_SUM
 
@@ -75,25 +75,18 @@ def interco_postings(facts: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def intercompany_elimination(facts: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Postings of two subsidiaries to one customer on one day, each pair once.
+    """Postings of two subsidiaries to one customer on one day, each pair once, that of the
+    subsidiary with the lesser code as the seller's.
 
-    The pairs are the result, so a busy customer-day makes many; its rows are
-    dealt out to as many tasks as it needs.
+    The pairs are the result, so a busy customer-day makes many; they are made
+    in cells of a grid, by as many tasks as they need.
     """
-    postings = interco_postings(facts, mapping)
-    keys = ["customer_id_nk", "transaction_date"]
-
-    def leg(name: str) -> DataFrame:
-        return postings.select(
-            *keys,
-            F.col("transaction_key").alias(f"{name}_key"),
-            F.col("subsidiary_code").alias(f"{name}_subsidiary"),
-            F.col("gl_account_code").alias(f"{name}_gl_code"),
-            F.col("amount_php").alias(f"{name}_amount_php"),
-        )
-
-    pairs = hot_key_join(leg("seller"), leg("buyer"), keys, split_by="seller_key").filter(
-        F.col("seller_subsidiary") < F.col("buyer_subsidiary")
+    postings = interco_postings(facts, mapping).withColumnsRenamed({
+        "transaction_key": "key", "subsidiary_code": "subsidiary", "gl_account_code": "gl_code",
+    })
+    pairs = ordered_pairs(
+        postings, ["customer_id_nk", "transaction_date"], "subsidiary", "key",
+        ("seller_", "buyer_"),
     )
     sold, bought = F.col("seller_amount_php"), F.col("buyer_amount_php")
     return pairs.select(
@@ -210,17 +203,29 @@ def fx_exposure(
 def product_performance(
     facts: DataFrame, products: DataFrame, calendar: DataFrame, days: int
 ) -> DataFrame:
-    """Monthly revenue per product category and cost centre with rank and shares."""
-    lookup = products.select("product_key", "subsidiary_code", "product_category", "cost_center")
-    monthly = (
+    """Monthly revenue per product category and cost centre with rank and shares.
+
+    Facts are unique by key, so their number is the number of transactions. They come down
+    to one row per month, product and customer before the product join, which takes the
+    weight off a product with very many postings; a customer is then one row of a group, and
+    counting the rows counts the customers.
+    """
+    per_product = (
         in_period(facts.filter(_is_revenue()), calendar, days)
-        .join(lookup, ["product_key", "subsidiary_code"])
-        .groupBy(*PERIOD, "subsidiary_code", "product_category", "cost_center")
-        .agg(
-            F.count_distinct("transaction_key").alias("transaction_count"),
-            F.count_distinct("customer_id_nk").alias("unique_customers"),
-            money_sum("amount_php").alias("revenue_php"),
-        )
+        .groupBy(*PERIOD, "subsidiary_code", "product_key", "customer_id_nk")
+        .agg(F.count("*").alias("postings"), F.sum("amount_php").alias("revenue"))
+    )
+    lookup = products.select("product_key", "subsidiary_code", "product_category", "cost_center")
+    group = [*PERIOD, "subsidiary_code", "product_category", "cost_center"]
+    per_customer = (
+        per_product.join(lookup, ["product_key", "subsidiary_code"])
+        .groupBy(*group, "customer_id_nk")
+        .agg(F.sum("postings").alias("postings"), F.sum("revenue").alias("revenue"))
+    )
+    monthly = per_customer.groupBy(*group).agg(
+        F.sum("postings").alias("transaction_count"),
+        F.count("customer_id_nk").alias("unique_customers"),
+        money_sum("revenue").alias("revenue_php"),
     )
     month = ["year", "month_num"]
     own = ["subsidiary_code", *month]

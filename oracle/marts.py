@@ -67,8 +67,8 @@ WHERE gl_account_code IN ('RETAIL_REVENUE','FREIGHT_REVENUE','MANUFACTURING_REVE
 GROUP BY ALL"""
 
 INTERCO = """
-ic AS (
-  SELECT f.*, gl.group_gl_code FROM fact f JOIN gl ON f.gl_account_code = gl.subsidiary_gl_code
+ic AS MATERIALIZED (
+  SELECT transaction_key, f.subsidiary_code, customer_id_nk, transaction_date, f.gl_account_code, amount_php FROM fact f JOIN gl ON f.gl_account_code = gl.subsidiary_gl_code
     AND f.subsidiary_code = gl.subsidiary_code WHERE gl_sub_category = 'INTERCOMPANY_REVENUE'
 ),
 pairs AS (

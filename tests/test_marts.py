@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from groupledger.operators.calendar import calendar
-from groupledger.operators.joins import hot_key_join
+from groupledger.operators.joins import hot_key_join, ordered_pairs
 from groupledger.plans import marts_business, marts_group
 from groupledger.plans.quality_rules import unbalanced_pair_counts, unbalanced_pairs
 from groupledger.sources.reference_rows import gl_mapping, subsidiaries
@@ -128,6 +128,47 @@ def test_hot_key_join_equals_a_plain_join(spark):
     assert as_list(salted) == as_list(left.join(right, ["k"]))
 
 
+def test_ordered_pairs_are_all_pairs_once(spark):
+    """Hot keys, a kind that is missing, single rows and NULL keys; cells of a few rows."""
+    df = spark.range(900).select(
+        F.when(F.col("id") < 500, 0).when(F.col("id") < 520, F.lit(None)).otherwise(F.col("id") % 60).alias("k"),
+        F.concat(F.lit("S"), F.pmod(F.xxhash64("id"), F.lit(3)).cast("string")).alias("s"),
+        F.col("id"),
+    )
+    got = ordered_pairs(df, ["k"], "s", "id", ("l_", "r_"), cell_rows=10)
+    plain = df.alias("l").join(df.alias("r"), F.expr("l.k = r.k AND l.s < r.s")).selectExpr(
+        "l.k", "l.s AS l_s", "l.id AS l_id", "r.s AS r_s", "r.id AS r_id")
+    assert as_list(got.select(*plain.columns)) == as_list(plain)
+    assert got.count() > 50_000
+
+
+def test_pairs_of_a_hot_key_are_made_in_cells(spark, facts, monkeypatch):
+    """No cell, and so no task's share of one key, holds more than its part of the grid."""
+    df = spark.range(4000).select(
+        F.lit(1).alias("k"), F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("s"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pairs = ordered_pairs(df, ["k"], "s", "id", ("l_", "r_"), cell_rows=250)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "_a_cell" in plan and pairs.count() == 2000 * 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_distinct_counts_without_expand(spark, facts, rows, cal):
+    df = facts(*[("p1" if i % 3 else "p2", "SUB_A", None if i == 5 else f"c{i % 4}", "2024-01-0%d" % (1 + i % 9),
+                  "RETAIL_REVENUE", f"{i}.00") for i in range(40)])
+    products = rows("product_key string, subsidiary_code string, product_category string, cost_center string",
+                    ("p1", "SUB_A", "x", "cc"), ("p2", "SUB_A", "x", "cc"))
+    got = marts_group.product_performance(df, products, cal, 366)
+    row = got.first()
+    assert (row.transaction_count, row.unique_customers, row.revenue_php) == (40, 4, Decimal("780.00"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "transaction_key" not in plan.split("Aggregate")[-2]
+    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert exchanges and not any("transaction_key" in x for x in exchanges)
+
+
 def test_zero_denominators_give_null(rows, cal):
     shipments = rows(
         "transaction_date date, origin_city string, dest_city string, service_type string, "
