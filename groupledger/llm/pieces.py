@@ -10,6 +10,7 @@ at a place exactly one does, and its piece is the last of the encoding up to the
 from __future__ import annotations
 
 import re
+from heapq import heappop, heappush
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,19 +79,37 @@ class Vocabulary:
         return data.removeprefix(b" ").decode(errors="replace")
 
     def merge(self, symbols: list[str], steps: list | None = None) -> list[str]:
-        """The symbols after all merges: the best rank first, of equal ones the leftmost."""
+        """The symbols after all merges: the best rank first, of equal ones the leftmost.
+        Joints wait in a heap, so the time is near the symbols' number."""
         symbols = list(symbols)
-        while True:
-            best, at = NEVER, -1
-            for i in range(len(symbols) - 1):
-                joined = self.ids.get(symbols[i] + symbols[i + 1])
-                if joined is not None and self.rank[joined] < best:
-                    best, at = self.rank[joined], i
-            if at < 0:
-                return symbols
+        count = len(symbols)
+        after, before = list(range(1, count + 1)), list(range(-1, count - 1))
+        waiting: list[tuple] = []
+
+        def offer(at: int) -> None:
+            follows = after[at]
+            if follows < count:
+                joined = self.ids.get(symbols[at] + symbols[follows])
+                if joined is not None:
+                    heappush(waiting, (self.rank[joined], at, symbols[at], symbols[follows]))
+
+        for at in range(count - 1):
+            offer(at)
+        while waiting:
+            _, at, left, right = heappop(waiting)
+            follows = after[at]
+            if symbols[at] != left or follows >= count or symbols[follows] != right:
+                continue  # one of them has gone on since
             if steps is not None:
-                steps.append((symbols[at], symbols[at + 1]))
-            symbols[at:at + 2] = ["".join(symbols[at:at + 2])]
+                steps.append((left, right))
+            symbols[at], symbols[follows] = left + right, ""
+            after[at] = after[follows]
+            if after[at] < count:
+                before[after[at]] = at
+            if before[at] >= 0:
+                offer(before[at])
+            offer(at)
+        return [s for s in symbols if s]
 
     def joint_holds(self, left: int, right: int) -> bool:
         """Whether left and right stay two pieces. Over time the left piece's last symbol

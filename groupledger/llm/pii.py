@@ -1,13 +1,13 @@
 """Personal data: patterns, and words that give a protected value away.
 
-A word next to a protected value discloses it as far as knowing the word tells that
-the value is there: PMI(value; word) = log(N * n(value, word) / (n(value) * n(word)))
-against the value's own information, log(N / n(value)); n counts documents of the
-whole corpus. Words at or above the threshold are generalised like the values.
-
-detect() counts all words of whole texts and smooths the PMI, so that rare values take
-part. The query op2_pii has the rows of its SQL counterpart, which looks at words of
-letters within WINDOW of a value and asks for SUPPORT: detect_near().
+A protected entity is a value, or what several values have in common: the domain of mail
+addresses, the network of addresses, the first digits of cards and phones, the kind. A word
+discloses an entity as far as knowing the word tells that the entity is there:
+PMI(entity; word) = log(P(entity | word) / P(entity)) against the entity's own information,
+log(1 / P(entity)), both over the whole corpus. For P(entity | word) stands the lower end of
+its confidence interval, so that a word counts by the texts that speak for it: a word of one
+text tells nothing however large the corpus. Words that disclose an entity are generalised
+like the values, wherever they stand in a text with that entity.
 """
 
 from __future__ import annotations
@@ -30,24 +30,20 @@ EMAIL = (
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A word that can be a term, and what separates such words.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}"
-NOT_LETTER = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: A word of whole texts: letters, digits and all that is not ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Documents like any other that smoothing adds to those with a word.
-DOUBT = 1.0
-#: How near a value a word must stand, in code points (detect_near).
-WINDOW = 40
-#: A word discloses a value if PMI >= THRESHOLD * information of the value ...
-THRESHOLD = 0.9
-#: ... and, in detect_near, the two stand together in so many different texts.
-SUPPORT = 3
+#: A word discloses an entity if PMI >= THRESHOLD * information of the entity, and if the
+#: entity is there with the word more often than not (LEAST); both at the lower end of the
+#: interval that is DEVIATIONS wide on each side.
+THRESHOLD, LEAST, DEVIATIONS = 0.75, 0.5, 1.645
+#: So many texts must speak for a word at least; follows from LEAST and DEVIATIONS.
+FEWEST = 3
+#: Digits of a card and of a phone that several may have in common.
+ISSUER, AREA = 6, 4
 #: Pairs of value and word are broadcast up to this many; beyond, they are shuffled.
 BROADCAST_PAIRS = 200_000
 
 SPAN = "array<struct<kind:string,entity:string,start:int,end:int>>"
-CONTEXT = "array<struct<entity:string,term:string,start:int,end:int>>"
 WORDS = "array<struct<term:string,start:int,end:int>>"
 
 
@@ -98,74 +94,28 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[spans(*kind) for kind in kinds])
 
 
-def contexts(text: Column, spans: Column) -> Column:
-    """The whole words near each span that lie in no span."""
+def entities(spans: Column) -> Column:
+    """The different entities of a text's values: each value, what it shares with others, and
+    its kind."""
 
-    def near(span: Column, piece: Column, offset: Column, whole_word) -> Column:
-        return F.transform(
-            F.filter(places(piece, TERM), lambda w: whole_word(w) & ~F.exists(
-                spans,
-                lambda s: (s["start"] < w["end"] + offset) & (w["start"] + offset < s["end"]),
-            )),
-            lambda w: F.struct(
-                span["entity"].alias("entity"), ascii_lower(w["value"]).alias("term"),
-                (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end"),
-            ),
-        )
-
-    def around(span: Column) -> Column:
-        begin = F.greatest(span["start"] - WINDOW - 1, F.lit(0))
-        left = F.substring(text, begin + 1, span["start"] - begin)
-        right = F.substring(text, span["end"] + 1, F.lit(WINDOW + 1))
-        return F.concat(
-            near(span, left, begin, lambda w: (begin == 0) | (w["start"] > 0)),
-            near(span, right, span["end"], lambda w: w["end"] <= WINDOW),
+    def wider(x: Column) -> Column:
+        return (
+            F.when(x["kind"] == "email", F.concat(F.lit("email:@"), F.substring_index(x["entity"], "@", -1)))
+            .when(x["kind"] == "ip", F.regexp_replace(x["entity"], r"\.[0-9]+$", "."))
+            .when(x["kind"] == "card", F.substring(x["entity"], 1, len("card:") + ISSUER))
+            .otherwise(F.substring(x["entity"], 1, len("phone:") + AREA))
         )
 
-    return F.when(F.size(spans) > 0, F.array_distinct(
-        F.flatten(F.transform(spans, around))
-    )).otherwise(F.array().cast(CONTEXT))
+    return F.array_distinct(F.flatten(F.transform(
+        spans, lambda x: F.array(x["entity"], wider(x), x["kind"])
+    )))
 
 
-def found(docs: DataFrame, *keep: str) -> DataFrame:
-    """row, key (of the text), doc (a struct of the columns to keep), spans and context of
-    every row of docs, stored."""
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), whole(F.col("text")).alias("body")
-    )
-    seen = packed.select(
-        F.monotonically_increasing_id().alias("row"), F.xxhash64("body").alias("key"), "doc",
-        let(base_spans(F.col("body")), lambda s: F.struct(
-            s.alias("spans"), contexts(F.col("body"), s).alias("context"),
-        )).alias("m"),
-    )
-    return stored(seen.select("row", "key", "doc", "m.spans", "m.context"), "pii")
-
-
-def disclosing(docs: DataFrame, seen: DataFrame, threshold: float = THRESHOLD,
-               support: int = SUPPORT) -> DataFrame:
-    """(entity, term) pairs of which the term discloses the entity."""
-    n = seen.count()
-    entities = seen.select(
-        F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")
-    ).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    together = seen.select("key", F.explode(F.array_distinct(F.transform(
-        "context", lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))
-    ))).alias("c")).select("key", "c.*")
-    pairs = checkpointed(
-        together.groupBy("entity", "term", "key").agg(F.count("*").alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts"))
-        .filter(F.col("n_texts") >= support).join(entities, "entity")
-    )
-    # counted before the join, so that frequent words meet it as one row each
-    counts = docs.select(F.explode(F.array_distinct(
-        words(ascii_lower(whole(F.col("text"))), NOT_LETTER)
-    )).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    information = F.log(F.lit(float(n)) / F.col("n_entity"))
-    pmi = F.log(F.col("n_both") * F.lit(float(n)) / (F.col("n_entity") * F.col("n_term")))
-    return pairs.join(counts, "term").filter(pmi >= threshold * information).select(
-        "entity", "term"
-    )
+def surely(together: Column, among: Column) -> Column:
+    """The lower end of the (Wilson) confidence interval of a share."""
+    share, z = together / among, DEVIATIONS * DEVIATIONS
+    spread = F.sqrt(share * (1 - share) / among + F.lit(z) / (4 * among * among))
+    return (share + F.lit(z) / (2 * among) - DEVIATIONS * spread) / (1 + F.lit(z) / among)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -191,8 +141,9 @@ def _with_terms(seen: DataFrame, places: DataFrame) -> DataFrame:
 
 def read(docs: DataFrame, *keep: str) -> DataFrame:
     """row, doc (a struct of the columns to keep) and spans of every row of docs, stored;
-    of texts with values also the words that lie in no span, by place, and hidden, the
-    words of the text that are none of these."""
+    of texts with values also key, the text's hash, the words that lie in no span, by place,
+    hidden, the words of the text that are none of these, and bared, those of these that are
+    none of the text's, since a value began in them."""
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), whole(F.col("text")).alias("body")
     )
@@ -210,57 +161,62 @@ def read(docs: DataFrame, *keep: str) -> DataFrame:
     hidden = F.when(valued, F.array_except(
         words(ascii_lower(F.col("body"))), F.transform("words", lambda w: w["term"])
     )).otherwise(F.array().cast("array<string>"))
-    return stored(seen.select("row", "doc", "spans", "words", hidden.alias("hidden")), "pii")
+    bared = F.when(valued, F.array_except(
+        F.transform("words", lambda w: w["term"]), words(ascii_lower(F.col("body")))
+    )).otherwise(F.array().cast("array<string>"))
+    return stored(seen.select(
+        "row", "doc", "spans", "words", F.xxhash64("body").alias("key"), hidden.alias("hidden"),
+        bared.alias("bared"),
+    ), "pii")
 
 
 def detect(docs: DataFrame, *keep: str) -> DataFrame:
     """Per row of docs: doc (a struct of the columns to keep), spans of the four kinds and
     terms (kind 'term'), each by start.
 
-    All words outside the values count, over whole texts. With P(value | word) =
-    (n(value, word) + DOUBT * P(value)) / (n(word) + DOUBT), a word discloses a value if
-    log(P(value | word) / P(value)) >= THRESHOLD * log(1 / P(value)); it is a term
-    wherever it stands in a text with that value. A null text counts as empty; repeated
-    rows give a row each. A value that is in every row has no terms."""
+    All words outside the values count, over whole texts. P(entity | word) is the share of
+    the texts with the word that have the entity; copies of a text with the entity count
+    once. A null text counts as empty; repeated rows give a row each; without rows or values
+    there are no terms."""
     seen = read(docs, *keep)
     n = float(seen.count())
     known = seen.filter(F.size("spans") > 0)
-    own = known.select("row", F.explode(F.array_distinct(
-        F.transform("spans", lambda s: s["entity"])
-    )).alias("entity"))
-    # values of the same rows have the same terms: they are one class, known by its rows
-    values = checkpointed(own.groupBy("entity").agg(F.struct(
+    own = known.select("row", "key", F.explode(entities(F.col("spans"))).alias("entity"))
+    # entities of the same rows have the same terms: they are one class, known by its rows
+    values = checkpointed(own.groupBy("entity", "key").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("a"),
         F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"),
-    ).alias("rows")).filter(F.col("rows.n") < n))
+    ).groupBy("entity").agg(F.struct(
+        F.sum("n").alias("n"), F.count("*").alias("texts"),
+        F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"),
+    ).alias("rows")).filter((F.col("rows.texts") >= FEWEST) & (F.col("rows.n") < n)))
     classes = own.join(_small(values), "entity").groupBy("row").agg(
         F.collect_set("rows").alias("classes")
     )
-    # texts with a word, less those in which it lies in values only
+    # rows with a word, without those in which it lies in values only
     counts = stored(docs.select(
         F.explode(F.array_distinct(words(ascii_lower(whole(F.col("text")))))).alias("term"),
         F.lit(1).alias("one"),
-    ).union(known.select(F.explode("hidden"), F.lit(-1))).groupBy("term").agg(
-        F.sum("one").alias("n_term")
-    ), "words")
-
-    def most(together: Column, value: Column) -> Column:
-        """How many rows a word that discloses may be in."""
-        return (together + DOUBT * value / n) / F.pow(value / n, F.lit(1 - THRESHOLD)) - DOUBT
-
-    highest = values.agg(F.max(most(F.col("rows.n"), F.col("rows.n")))).first()[0] or 0.0
-    # frequent words that can disclose no value: as few as a hundred rows have words
-    common = counts.filter(F.col("n_term") > max(highest, n / 100)).select("term")
-    together = known.select("row", F.array_distinct(
+    ).union(known.select(F.explode("hidden"), F.lit(-1))).union(
+        known.select(F.explode("bared"), F.lit(1))
+    ).groupBy("term").agg(F.sum("one").alias("n_term")), "words")
+    # a word of more rows than this is more often without any entity than with it
+    most = values.agg(F.max("rows.n")).first()[0] or 0
+    common = counts.filter(F.col("n_term") > most / LEAST).select("term")
+    together = known.select("row", "key", F.array_distinct(
         F.transform("words", lambda w: w["term"])
     ).alias("terms")).join(classes, "row").select(
-        "row", "classes", F.explode("terms").alias("term")
+        "row", "key", "classes", F.explode("terms").alias("term")
     ).join(_small(common), "term", "left_anti").select(
-        "row", F.explode("classes").alias("rows"), "term"
+        "row", "key", F.explode("classes").alias("rows"), "term"
     )
-    pairs = together.groupBy("rows", "term").agg(F.count("*").alias("n_both"))
+    pairs = together.groupBy("rows", "term", "key").agg(F.count("*").alias("n")).groupBy(
+        "rows", "term"
+    ).agg(F.sum("n").alias("n_both"), F.count("*").alias("texts")).filter(F.col("texts") >= FEWEST)
+    sure = surely(F.col("texts"), F.col("texts") + F.col("n_term") - F.col("n_both"))
+    rate = F.col("rows.n") / n
     flagged = checkpointed(pairs.join(counts, "term").filter(
-        F.col("n_term") <= most(F.col("n_both"), F.col("rows.n"))
+        (sure >= LEAST) & (F.log(sure / rate) >= THRESHOLD * F.log(1 / rate))
     ).select("rows", "term"))
     terms = together.join(_small(flagged), ["rows", "term"]).select("row", "term").distinct()
     return _with_terms(seen, known.select("row", F.explode("words").alias("w")).select(
@@ -268,17 +224,6 @@ def detect(docs: DataFrame, *keep: str) -> DataFrame:
     ).join(terms, ["row", "term"]))
 
 
-def detect_near(docs: DataFrame, *keep: str) -> DataFrame:
-    """As detect(), but with the terms of disclosing(): words of letters near a value.
-
-    A null text counts as empty; repeated rows give a row each; docs without rows, without
-    values or with one text only give no terms."""
-    seen = found(docs, *keep)
-    flagged = _small(checkpointed(disclosing(docs, seen)))
-    near = seen.select("row", F.explode("context").alias("c")).select("row", "c.*")
-    return _with_terms(seen, near.join(flagged, ["entity", "term"]))
-
-
 def masked(text: Column, spans: Column) -> Column:
     """The text with each span generalised to its label; overlapping spans get the first
     one's."""
@@ -348,7 +293,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(
         F.filter("spans", lambda s: s["kind"] == kind)
     ).cast("long").alias(f"n_{kind}")
-    return detect_near(docs, "doc_id").select(
+    return detect(docs, "doc_id").select(
         "doc.doc_id", *[count(kind) for kind in ("email", "ip", "card", "phone")],
         F.sha2(said(F.col("spans")), 256).alias("base_sha256"),
         said(F.concat("spans", "terms")).alias("spans"),
@@ -391,35 +336,50 @@ sp AS (SELECT rid, kind, ord, s, s + length(v) AS e,
                   + (2 * substr(dg, length(dg) - i + 1, 1)::INT) % 10
              ELSE substr(dg, length(dg) - i + 1, 1)::INT END))) % 10 = 0
          WHEN 'phone' THEN length(dg) BETWEEN 8 AND 15 ELSE true END),
-pc AS (SELECT rid, entity, greatest(s - {WINDOW} - 1, 0) AS o, true AS is_left,
-              substr(t, greatest(s - {WINDOW} - 1, 0) + 1, s - greatest(s - {WINDOW} - 1, 0)) AS c
-       FROM sp JOIN d USING (rid)
-       UNION ALL
-       SELECT rid, entity, e, false, substr(t, e + 1, {WINDOW} + 1) FROM sp JOIN d USING (rid)),
-wk AS (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM (SELECT *,
-         regexp_extract_all(c, '{TERM}') AS m, regexp_split_to_array(c, '{TERM}') AS g FROM pc)),
-wp AS (SELECT rid, entity, o, is_left, m[k] AS v,
+isl AS (SELECT rid, min(s) AS s, max(e) AS e FROM (
+         SELECT *, sum(apart) OVER (PARTITION BY rid ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g
+         FROM (SELECT rid, s, e, CASE WHEN s >= coalesce(max(e) OVER (PARTITION BY rid ORDER BY s, e
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) THEN 1 ELSE 0 END AS apart
+               FROM sp)) GROUP BY rid, g),
+cut AS (SELECT rid, s, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS b FROM isl),
+rest AS (SELECT rid, any_value(l) AS whole_text,
+                string_agg(substr(l, b + 1, s - b) || repeat(' ', e - s), '' ORDER BY s)
+                || substr(any_value(l), max(e) + 1) AS l
+         FROM cut JOIN low USING (rid) GROUP BY rid),
+wk AS (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM (SELECT rid,
+         regexp_extract_all(l, '{WORD}') AS m, regexp_split_to_array(l, '{WORD}') AS g FROM rest)),
+wp AS (SELECT rid, m[k] AS term,
               (coalesce(list_sum(list_transform(g[1:k], lambda x: length(x))), 0)
                + coalesce(list_sum(list_transform(m[1:k-1], lambda x: length(x))), 0))::BIGINT AS s
        FROM wk),
-cx AS (SELECT DISTINCT rid, entity,
-              translate(v, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term,
-              o + s AS s, o + s + length(v) AS e
-       FROM wp WHERE CASE WHEN is_left THEN o = 0 OR s > 0 ELSE s + length(v) <= {WINDOW} END),
-ct AS (SELECT * FROM cx WHERE NOT EXISTS (
-         SELECT 1 FROM sp WHERE sp.rid = cx.rid AND sp.s < cx.e AND cx.s < sp.e)),
-pr AS (SELECT entity, term, count(DISTINCT rid) AS n_both
-       FROM ct JOIN d USING (rid) GROUP BY entity, term HAVING count(DISTINCT t) >= {SUPPORT}),
-en AS (SELECT entity, count(DISTINCT rid) AS n_entity FROM sp GROUP BY entity),
-tm AS (SELECT term, count(DISTINCT rid) AS n_term
-       FROM (SELECT rid, unnest(regexp_extract_all(l, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
-             FROM low) GROUP BY term),
-fl AS (SELECT entity, term FROM pr JOIN en USING (entity) JOIN tm USING (term)
-       WHERE ln(n_both * (SELECT count(*) FROM d)::DOUBLE / (n_entity * n_term))
-             >= {THRESHOLD} * ln((SELECT count(*) FROM d)::DOUBLE / n_entity)),
+lv AS (SELECT DISTINCT rid, unnest([entity, kind, CASE kind
+         WHEN 'email' THEN 'email:@' || regexp_replace(entity, '^.*@', '')
+         WHEN 'ip' THEN regexp_replace(entity, '\.[0-9]+$', '.')
+         WHEN 'card' THEN substr(entity, 1, 5 + {ISSUER})
+         ELSE substr(entity, 1, 6 + {AREA}) END]) AS entity FROM sp),
+en AS (SELECT entity, count(*) AS n_rows, count(DISTINCT t) AS n_texts FROM lv JOIN d USING (rid)
+       GROUP BY entity HAVING count(DISTINCT t) >= {FEWEST} AND count(*) < (SELECT count(*) FROM d)),
+tm AS (SELECT term, count(*) AS n_term FROM (
+         SELECT DISTINCT rid, term FROM wp
+         UNION ALL
+         SELECT DISTINCT rid, unnest(regexp_extract_all(l, '{WORD}')) FROM low
+         WHERE rid NOT IN (SELECT rid FROM sp)) x(rid, term) GROUP BY term),
+pr AS (SELECT entity, term, count(*) AS n_both, count(DISTINCT t) AS texts
+       FROM (SELECT DISTINCT rid, term FROM wp) JOIN lv USING (rid) JOIN d USING (rid)
+       WHERE entity IN (SELECT entity FROM en)
+       GROUP BY entity, term HAVING count(DISTINCT t) >= {FEWEST}),
+sh AS (SELECT entity, term, n_rows / (SELECT count(*) FROM d)::DOUBLE AS rate,
+              (texts + n_term - n_both)::DOUBLE AS among, texts / (texts + n_term - n_both)::DOUBLE AS p
+       FROM pr JOIN en USING (entity) JOIN tm USING (term)),
+sr AS (SELECT entity, term, rate, (p + {DEVIATIONS} * {DEVIATIONS} / (2 * among) - {DEVIATIONS} * sqrt(
+                p * (1 - p) / among + {DEVIATIONS} * {DEVIATIONS} / (4 * among * among)))
+              / (1 + {DEVIATIONS} * {DEVIATIONS} / among) AS sure FROM sh),
+fl AS (SELECT entity, term FROM sr
+       WHERE sure >= {LEAST} AND ln(sure / rate) >= {THRESHOLD} * ln(1 / rate)),
 sa AS (SELECT rid, kind, ord, s, e FROM sp
        UNION ALL
-       SELECT DISTINCT rid, 'term', 5, s, e FROM ct JOIN fl USING (entity, term)),
+       SELECT DISTINCT rid, 'term', 5, s, s + length(term)
+       FROM wp JOIN lv USING (rid) JOIN fl USING (entity, term)),
 ag AS (SELECT rid, count(*) FILTER (ord = 1) AS n_email, count(*) FILTER (ord = 2) AS n_ip,
               count(*) FILTER (ord = 3) AS n_card, count(*) FILTER (ord = 4) AS n_phone,
               string_agg(kind || ':' || s || ':' || e, ',' ORDER BY ord, s) FILTER (ord < 5) AS b,

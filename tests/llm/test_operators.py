@@ -129,56 +129,107 @@ def _terms(df) -> dict[int, set]:
             pii.detect(df, "doc_id", "text").select("doc.*", "terms").collect()}
 
 
-def test_pii_terms_of_rare_values_anywhere_in_the_text(spark):
+def test_pii_terms_need_evidence_and_stand_anywhere(spark):
+    """Words of three texts at least, far from the value, with digits; through the domain, the
+    network or the kind of the values; copies of a text are one text."""
     far = "and so on with other things " * 9
-    rows = [(1, f"Member K7 spoke. {far} Call +1 (499) 555-6503 or K7, not x.y@z.example"),
-            (2, f"quagmire {far} mail a.b@c.example"), (3, f"quagmire {far} mail A.B@c.example z"),
-            (4, f"K8 {far}"), (5, "c.example is no value, but y@x.example is")]
-    rows += [(100 + i, f"{far} member spoke call or not mail is no value but c example x y z {i % 500}")
-             for i in range(2000)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = _terms(df)
-    assert {i: t for i, t in got.items() if t} == {1: {"K7"}, 2: {"quagmire"}, 3: {"quagmire"}}
-    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
-    assert clean[1] == f"Member [TERM] spoke. {far} Call [PHONE] or [TERM], not [EMAIL]"
-    assert (clean[4], clean[100]) == (rows[3][1], rows[5][1])
-
-
-def test_pii_terms_of_the_given_tables(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
-    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
-    values, counts, texts = {}, {}, []
-    for _, text in rows:
-        spans = _base(text)
-        blank = list(text)
+    rows = [(i, f"Desk K7 spoke. {far} mail p{i}.x@c.example, single{i}") for i in range(1, 5)]
+    rows += [(10 + i, f"{far} from 10.0.7.{i} by Quagmire") for i in range(3)]
+    rows += [(20 + i, f"{far} copied words say +1 (499) 555-6503") for i in range(6)]  # one text
+    rows += [(30 + i, f"{far} often {'x.y@z.example' if i < 4 else ''} {i}") for i in range(9)]
+    rows += [(50, f"{far} without a value"), (51, None)]
+
+    def filled(count):
+        more = [(100 + i, f"{far} mail by from desk spoke say words {i}") for i in range(count)]
+        return spark.createDataFrame(rows + more, "doc_id long, text string")
+
+    small, large = (_terms(filled(count)) for count in (300, 3000))
+    assert sum(map(bool, small.values())) == 7 and all(small[10 + i] == {"Quagmire"} for i in range(3))
+    assert {i: small[i] for i in small} == {i: large[i] for i in small}  # no switch by size
+    assert all(small[i] == {"K7"} for i in range(1, 5))
+    assert all(not small[20 + i] for i in range(6)) and all(not small[30 + i] for i in range(9))
+    assert not small[50] and not small[100]
+    clean = {r.doc_id: r.text for r in pii.sanitise(filled(300)).collect()}
+    assert clean[1] == f"Desk [TERM] spoke. {far} mail [EMAIL], single1"
+
+
+def _told(docs: list[tuple]) -> list[tuple]:
+    """Per row the doc_id and the words of its text that give one of its entities away."""
+    low = {c: c + 32 for c in range(65, 91)}
+    counts, of, rows = {}, {}, []
+    for _, text in docs:
+        text = text or ""
+        spans, blank = _base(text), list(text.translate(low))
         for _, start, end in spans:
             blank[start:end] = " " * (end - start)
-        lower = "".join(blank).translate({c: c + 32 for c in range(65, 91)})
-        own = set(re.findall(pii.WORD, lower))
+        own = set(re.findall(pii.WORD, "".join(blank)))
         for word in own:
             counts[word] = counts.get(word, 0) + 1
-        of = {(k, text[a:b].lower() if k == "email" else text[a:b] if k == "ip" else
-               re.sub("[^0-9]", "", text[a:b])) for k, a, b in spans}
-        for value in of:
-            values.setdefault(value, []).append(own)
-        texts.append((of, own))
-    told = {}
-    for value, owns in values.items():
-        p, both = len(owns) / len(rows), {}
-        for own in owns:
+        names = set()
+        for kind, start, end in spans:
+            value = text[start:end]
+            digits = re.sub("[^0-9]", "", value)
+            names |= {kind, {
+                "email": f"email:@{value.translate(low).split('@')[-1]}", "ip": f"ip:{value.rpartition('.')[0]}.",
+                "card": f"card:{digits[:6]}", "phone": f"phone:{digits[:4]}"}[kind],
+                f"{kind}:{value.translate(low) if kind == 'email' else value if kind == 'ip' else digits}"}
+        for name in names:
+            of.setdefault(name, []).append((text, own))
+        rows.append((names, own))
+    told, z = {}, 1.645
+    for name, found in of.items():
+        rate, both, texts = len(found) / len(docs), {}, {}
+        for text, own in found:
             for word in own:
                 both[word] = both.get(word, 0) + 1
-        told[value] = {w for w, n in both.items()
-                       if (n + p) / (counts[w] + 1) >= p ** (1 - pii.THRESHOLD)}
-    want = sorted((i, sorted(set().union(*(told[v] & own for v in of))))
-                  for (i, _), (of, own) in zip(rows, texts, strict=True))
+                texts.setdefault(word, set()).add(text)
+        for word, n in both.items():
+            k = len(texts[word])
+            among = k + counts[word] - n
+            share = k / among
+            sure = (share + z * z / (2 * among) - z * (
+                share * (1 - share) / among + z * z / (4 * among * among)) ** 0.5) / (1 + z * z / among)
+            if rate < 1 and sure >= 0.5 and np.log(sure / rate) >= 0.75 * np.log(1 / rate):
+                told.setdefault(name, set()).add(word)
+    return sorted((i, sorted(set().union(*(told.get(n, set()) & own for n in names))))
+                  for (i, _), (names, own) in zip(docs, rows, strict=True))
+
+
+def test_pii_terms_of_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    want = _told([(r.doc_id, r.text) for r in docs.collect()])
     assert sum(bool(t) for _, t in want) > 0
-    got = pii.detect(docs, "doc_id", "text").select("doc.*", "terms").collect()
     lower = {c: c + 32 for c in range(65, 91)}
+    got = pii.detect(docs, "doc_id", "text").select("doc.*", "terms").collect()
     assert sorted((r.doc_id, sorted({r.text[s.start:s.end].translate(lower) for s in r.terms}))
                   for r in got) == want
 
 
+def test_pii_query_equals_its_sql_on_rows_with_terms(spark, tmp_path):
+    import duckdb
+
+    rng, plain = random.Random(6), [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        said = [rng.choice(plain) for _ in range(20)]
+        if i % 4 == 0:
+            said += ["Desk", f"p{i}@mail{i % 3}.example", f"team{i % 3}", "é😀"]
+        if i % 9 == 0:
+            said += [f"10.0.{i % 2}.{i % 250}", "rack", "a4111 1111 1111 1111", "+1 (499) 555-6503,x"]
+        if i % 50 == 1:
+            said += ["desk", "team0"]
+        rng.shuffle(said)
+        rows.append((i, " ".join(said)))
+    rows += rows[:40] + [(900, None), (901, ""), (None, rows[4][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(pii.SQL)
+    got = pii.op2_pii(spark, str(tmp_path))
+    assert _rows(got.select(*want.columns)) == sorted(want.fetchall(), key=repr)
+    assert sum("term:" in r.spans for r in got.collect()) > 50
+
+
 def test_masked_text(spark):
     rng = random.Random(4)
     rows = []
