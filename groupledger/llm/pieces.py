@@ -15,17 +15,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import table
 
 SPACE = "▁"
-#: Words and joints that a worker remembers.
-KNOWN = 400_000
-JOINTS = 500_000
+#: Bytes of words and their ids that a worker remembers, about, in each of three tables, and
+#: what an entry takes beside them; and places for joints.
+REMEMBERED, ENTRY = 24 << 20, 180
+JOINTS = 1 << 21
+#: Letters up to which words are relaxed together, by their letters' places.
+SHORT = 48
 #: Characters of new words that are matched together; a word is never cut.
-BLOCK = 250_000
+BLOCK = 160_000
 NEVER = float("inf")
+#: More than any code.
+MOST = (1 << 31) - 1
 #: Marks in place of a piece's id: the start of a word, a character without a piece.
 START, OTHER = -2, -1
 _RUNS = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
@@ -143,7 +149,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         key <<= bits
         key[:max(0, size - step)] |= rank[step:] + 1
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         if width >= depth:
             return order
         ordered = key[order]
@@ -156,26 +162,39 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
 def occurrences(codes: np.ndarray, order: np.ndarray, queries: np.ndarray,
                 lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each query (a row of codes, padded) the range of order whose suffixes begin
-    with it; all queries go through one binary search together."""
+    with it, by binary search."""
     reach = np.arange(queries.shape[1])
     inside = reach < lengths[:, None]
     padded = np.concatenate([codes, np.zeros(queries.shape[1], codes.dtype)])
 
-    def bound(after: bool) -> np.ndarray:
-        low, high = np.zeros(len(queries), np.int64), np.full(len(queries), len(order))
-        while (open_ := low < high).any():
-            middle = (low + high) // 2
-            there = padded[order[np.minimum(middle, len(order) - 1)][:, None] + reach]
-            differ = (there != queries) & inside
-            at = differ.argmax(axis=1)
-            row = np.arange(len(queries))
-            same = ~differ[row, at]
-            less = np.where(same, after, there[row, at] < queries[row, at])
-            low = np.where(open_ & less, middle + 1, low)
-            high = np.where(open_ & ~less, middle, high)
-        return low
+    width = 4 * queries.shape[1]
 
-    return bound(False), bound(True)
+    def spelled(rows: np.ndarray) -> np.ndarray:
+        """Rows of codes as texts that sort like them."""
+        return np.ascontiguousarray(rows, ">u4").view(f"S{width}").ravel()
+
+    sorted_ = spelled(sliding_window_view(padded, queries.shape[1])[order])
+    low = np.searchsorted(sorted_, spelled(np.where(inside, queries, 0)), "left")
+    high = np.searchsorted(sorted_, spelled(np.where(inside, queries, MOST)), "right")
+    return low, high
+
+
+class Table(dict):
+    """What a worker remembers of words; emptied down to the words of the last batch."""
+
+    size = 0
+
+    def learn(self, words: list[str], ids: list[bytes]) -> None:
+        self.update(zip(words, ids, strict=True))
+        self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY * len(words)
+
+    def bounded(self, last: set[str]) -> Table:
+        if self.size <= REMEMBERED:
+            return self
+        kept = Table()
+        words = [w for w in last if w in self]
+        kept.learn(words, [self[w] for w in words])
+        return kept if kept.size <= REMEMBERED else Table()
 
 
 class Encoder:
@@ -188,10 +207,15 @@ class Encoder:
         self.queries = np.zeros((len(own), self.depth), np.int32)
         for row, i in enumerate(own):
             self.queries[row, :self.lengths[row]] = _codes(vocabulary.texts[i])
-        self.after: dict[str, bytes] = {}  # by word that a space stands before
-        self.first: dict[str, bytes] = {}  # by word at the start of a line
-        self.stems: dict[str, bytes] = {}  # by part of a word that no piece reaches beyond
-        self.joints: dict[int, bool] = {}
+        in_order = np.lexsort(self.queries.T[::-1])  # needles in order are found faster
+        self.ids, self.lengths = self.ids[in_order], self.lengths[in_order]
+        self.queries = self.queries[in_order]
+        self.after = Table()  # by word that a space stands before
+        self.first = Table()  # by word at the start of a line
+        self.stems = Table()  # by part of a word that no piece reaches beyond
+        self.last: tuple[set[str], set[str]] = (set(), set())
+        self.joints = np.full(JOINTS, -1)  # by a hash of two pieces: the pieces, and
+        self.holds = np.zeros(JOINTS, bool)  # whether they stay two
 
     def _stem(self, word: str) -> str:
         stem = word.rstrip(".,")
@@ -206,7 +230,7 @@ class Encoder:
         new = list({x for x in (*stems, *rests) if x and x not in self.stems})
         for word in new:  # pieces of spaces only share one rank, so their joints depend on place
             if SPACE * 2 in word:
-                self.stems[word] = self._bytes(word)
+                self.stems.learn([word], [self._bytes(word)])
         block, size = [], 0
         for word in new:
             if SPACE * 2 not in word:
@@ -240,9 +264,12 @@ class Encoder:
         start = np.concatenate([start, other])
         piece = np.concatenate([piece, np.full(len(other), OTHER)])
         end = start + np.concatenate([length, np.ones(len(other), np.int64)])
-        by_end = np.argsort(end * (self.depth + 1) - (end - start), kind="stable")
-        last = self._relaxed(start[by_end].tolist(), end[by_end].tolist(),
-                             piece[by_end].tolist(), stops - sizes, len(codes) + 1)
+        begin = stops - sizes
+        letter = np.minimum(end - begin[np.searchsorted(begin, start, "right") - 1], SHORT + 1)
+        by_end = np.argsort((letter * (len(codes) + 2) + end) * (self.depth + 1) - (end - start))
+        last = self._relaxed(
+            start[by_end], end[by_end], piece[by_end], letter[by_end], begin, len(codes) + 1
+        )
         # all paths back at once: a place on a path is the end of one of its pieces
         sized = np.ones(len(self.words.texts) + 1, np.int64)
         sized[self.ids] = self.lengths
@@ -263,31 +290,49 @@ class Encoder:
             ids[ids == OTHER] = [self.words.byte_ids[b] for x in spelled for b in x]
         data = ids.astype(np.int32).tobytes()
         cuts = [0, *(4 * np.searchsorted(places, stops, "right")).tolist()]
-        self.stems.update(
-            (word, data[a:b]) for word, a, b in zip(new, cuts, cuts[1:], strict=False)
-        )
+        self.stems.learn(new, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
 
-    def _relaxed(self, starts, ends, pieces, begins, size) -> np.ndarray:
-        """The last piece of the encoding up to each place."""
+    def _relaxed(self, starts, ends, pieces, letter, begins, size) -> np.ndarray:
+        """The last piece of the encoding up to each place. Edges are sorted by the letter of
+        their words at which they end, then by end, long ones first; those of one letter are
+        relaxed together, and of the edges to one place the first that holds counts."""
         nothing = START - 1
-        last = [nothing] * size
-        for at in begins.tolist():
-            last[at] = START
-        if len(self.joints) > JOINTS:
-            self.joints.clear()
-        joints, base, holds = self.joints, len(self.words.texts), self.words.joint_holds
-        for start, end, piece in zip(starts, ends, pieces, strict=True):
-            before = last[start]
-            if before != nothing and last[end] == nothing:
-                if before >= 0 and piece >= 0:
-                    key = before * base + piece
-                    ok = joints.get(key)
-                    if ok is None:
-                        ok = joints[key] = holds(before, piece)
-                    if not ok:
-                        continue
+        last = np.full(size, nothing)
+        last[begins] = START
+        cuts = np.searchsorted(letter, np.arange(1, SHORT + 3))
+        for low, high in zip(cuts[:-2], cuts[1:-1], strict=True):
+            group = np.arange(low, high)
+            before = last[starts[group]]
+            group, before = group[before != nothing], before[before != nothing]
+            piece = pieces[group]
+            held = np.ones(len(group), bool)
+            joint = (before >= 0) & (piece >= 0)
+            held[joint] = self._hold(before[joint], piece[joint])
+            group = group[held]
+            first = np.append(True, np.diff(ends[group]) != 0)[:len(group)]
+            last[ends[group[first]]] = pieces[group[first]]
+        for row in range(cuts[-2], cuts[-1]):
+            before, end, piece = last[starts[row]], ends[row], pieces[row]
+            if before != nothing and last[end] == nothing and (
+                before < 0 or piece < 0 or self.words.joint_holds(int(before), int(piece))
+            ):
                 last[end] = piece
-        return np.array(last)
+        return last
+
+    def _hold(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each two pieces stay two, remembered in a table of one place per hash."""
+        base = len(self.words.texts)
+        keys = left.astype(np.int64) * base + right
+        at = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
+        at &= JOINTS - 1
+        out, missing = self.holds[at], np.flatnonzero(self.joints[at] != keys)
+        if len(missing):
+            unique, back = np.unique(keys[missing], return_inverse=True)
+            holds = self.words.joint_holds
+            found = np.array([holds(*divmod(k, base)) for k in unique.tolist()], bool)
+            out[missing] = found[back]
+            self.joints[at[missing]], self.holds[at[missing]] = keys[missing], out[missing]
+        return out
 
     def _bytes(self, word: str) -> bytes:
         """The ids of a word by merging its symbols one by one."""
@@ -299,9 +344,8 @@ class Encoder:
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of 32-bit numbers."""
-        for known in (self.after, self.first, self.stems):
-            if len(known) > KNOWN:
-                known.clear()
+        self.after, self.first = self.after.bounded(self.last[0]), self.first.bounded(self.last[1])
+        self.stems = self.stems.bounded(set())
         cut, later, begin, odd = [], set(), set(), []
         for at, text in enumerate(texts):
             if "  " in text or SPACE in text or text[:1] == " ":
@@ -315,9 +359,10 @@ class Encoder:
                     begin.add(line[0])
             cut.append(lines)
         new = list(later.difference(self.after))
-        self.after.update(zip(new, self.learn([SPACE + w for w in new]), strict=True))
+        self.after.learn(new, self.learn([SPACE + w for w in new]))
         new = list(begin.difference(self.first))
-        self.first.update(zip(new, self.learn(new), strict=True))
+        self.first.learn(new, self.learn(new))
+        self.last = (later, begin)
         odd_words = list({w for at in odd for w in cut[at]})
         odd_ids = dict(zip(odd_words, self.learn(odd_words), strict=True))
         line_break = self._bytes("\n")
