@@ -90,8 +90,11 @@ class Model:
 
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of each run, one run after the other."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total < 1 << 30 and (not len(starts) or starts.max() < 1 << 30) else np.int64
+    shift = (starts - ends + lengths).astype(kind)
+    return np.repeat(shift, lengths) + np.arange(total, dtype=kind)
 
 
 def merge_all(model: Model, ids: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
@@ -242,7 +245,19 @@ def _odd_words(model: Model, texts: list[str]) -> pa.ListArray:
     ], pa.list_(pa.string()))
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def all_words(model: Model, part: pa.RecordBatch) -> pa.ListArray:
+    """The words of each row of split_words()."""
+    words, odd = part.column("words"), part.column("odd")
+    if odd.null_count == len(part):
+        return words
+    rows = np.flatnonzero(odd.is_valid().to_numpy(zero_copy_only=False))
+    place = np.arange(len(part))
+    place[rows] = len(part) + np.arange(len(rows))
+    found = _odd_words(model, odd.take(pa.array(rows)).to_pylist())
+    return pa.concat_arrays([words.cast(found.type), found]).take(pa.array(place))
+
+
+def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about CHUNK words each, one row at least."""
     edges, low = batch.column("words").offsets.to_numpy(), 0
     while low < len(batch):
@@ -256,15 +271,8 @@ def _encoder(model: Model, keep: Sequence[str], back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
         for batch in batches:
-            for part in _chunks(batch):
-                words, odd = part.column("words"), part.column("odd")
-                if odd.null_count < len(part):
-                    rows = np.flatnonzero(odd.is_valid().to_numpy(zero_copy_only=False))
-                    place = np.arange(len(part))
-                    place[rows] = len(part) + np.arange(len(rows))
-                    found = _odd_words(model, odd.take(pa.array(rows)).to_pylist())
-                    words = pa.concat_arrays([words.cast(found.type), found]).take(pa.array(place))
-                ids, edges = encoder.encoded(words)
+            for part in chunks(batch):
+                ids, edges = encoder.encoded(all_words(model, part))
                 lists = pa.ListArray.from_arrays(
                     pa.array(edges, pa.int32()), pa.array(ids.astype(np.int32))
                 )
@@ -284,6 +292,16 @@ def read_model(tokenizer: str) -> Model:
         return Model(file.read())
 
 
+def split_words(model: Model, text: Column) -> list[Column]:
+    """words of a text, and odd, the text itself if it must be split in the task."""
+    special = "".join(f"|{re.escape(t)}" for t in model.special)
+    value = whole(text)
+    odd = value.rlike(r"\p{Cn}" + special)
+    words = F.when(~odd, F.regexp_extract_all(value, F.lit(WORDS), F.lit(0)))
+    empty = F.array().cast("array<string>")
+    return [F.coalesce(words, empty).alias("words"), F.when(odd, value).alias("odd")]
+
+
 def encode(
     docs: DataFrame, tokenizer: str, text: str = "text", keep: Sequence[str] = ("doc_id",),
     back: bool = False,
@@ -296,14 +314,7 @@ def encode(
     ids; long texts and words are never cut off; a repeated row is encoded like any other, and
     an empty table gives no rows. Columns not in ``keep`` take no part."""
     model = read_model(tokenizer)
-    special = "".join(f"|{re.escape(t)}" for t in model.special)
-    value = whole(F.col(text))
-    odd = value.rlike(r"\p{Cn}" + special)
-    words = F.when(~odd, F.regexp_extract_all(value, F.lit(WORDS), F.lit(0)))
-    empty = F.array().cast("array<string>")
-    rows = docs.select(
-        *keep, F.coalesce(words, empty).alias("words"), F.when(odd, value).alias("odd")
-    )
+    rows = docs.select(*keep, *split_words(model, F.col(text)))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     schema = f"{kept}, ids array<int>" + (", decoded string" if back else "")
     return rows.mapInArrow(_encoder(model, keep, back), schema)

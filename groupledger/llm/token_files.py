@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import bpe
 from .common import new_folder, table
 from .files import mapped, published
 
@@ -132,6 +133,34 @@ def _writer(path: str, folder: str, end: int):
     return write
 
 
+def _split_writer(model: bpe.Model, folder: str, end: int):
+    """The same for byte-level BPE models, whose texts Spark splits into words."""
+    size = max(len(model.lengths), end + 1)
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, part = bpe.Encoder(model), TaskContext.get().partitionId()
+        starts, docs, total = [np.zeros(1, np.int64)], [], 0
+        with published(f"{folder}/{part:06d}.ids") as out:
+            for batch in batches:
+                for some in bpe.chunks(batch):
+                    ids, edges = encoder.encoded(bpe.all_words(model, some))
+                    out.write(np.insert(ids.astype(kind), edges[1:], end).tobytes())
+                    starts.append(total + edges[1:] + np.arange(1, len(edges)))
+                    total = int(starts[-1][-1])
+                    docs.append(some.column("doc_id").fill_null(NO_ID).to_numpy())
+        for name, values in (("offsets", np.concatenate(starts).astype("<u8")),
+                             ("docs", np.concatenate([np.empty(0, np.int64), *docs]).astype("<i8"))):
+            with published(f"{folder}/{part:06d}.{name}") as out:
+                out.write(values.tobytes())
+        yield pa.RecordBatch.from_pydict({
+            "part": pa.array([part], pa.int32()), "n_tokens": pa.array([total], pa.int64()),
+            "kind": pa.array([kind]),
+        })
+
+    return write
+
+
 def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END) -> DataFrame:
     """Writes doc_id (long) and text of docs in ascending doc_id order; repeated doc_ids
     are ordered by the text's hash, null ones stand first, null texts are empty. Returns the
@@ -141,7 +170,14 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END) -> DataF
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     ordered = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
     schema = "part int, n_tokens long, kind string"
-    rows = sorted(ordered.drop("key").mapInArrow(_writer(tokenizer, folder, end), schema).collect())
+    try:
+        model = bpe.read_model(tokenizer)
+    except ValueError:  # not a byte-level BPE model: the tokenizer itself has the whole texts
+        written = ordered.drop("key").mapInArrow(_writer(tokenizer, folder, end), schema)
+    else:
+        split = ordered.select("doc_id", *bpe.split_words(model, F.col("text")))
+        written = split.mapInArrow(_split_writer(model, folder, end), schema)
+    rows = sorted(written.collect())
     bases = accumulate((r.n_tokens for r in rows), initial=0)
     parts = [(r.part, r.kind, base) for r, base in zip(rows, bases, strict=False)]
     return docs.sparkSession.createDataFrame(parts, "part int, kind string, base long")
@@ -171,7 +207,7 @@ def _reader(folder: str):
 
 def read(parts: DataFrame, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32."""
-    return parts.repartition("part").mapInArrow(
+    return parts.repartition(max(1, parts.count()), "part").mapInArrow(
         _reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
