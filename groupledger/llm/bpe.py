@@ -83,7 +83,9 @@ class Model:
 
     def ranks(self, ids: np.ndarray) -> np.ndarray:
         """Of each neighbouring pair the number of its merge, NONE without one."""
-        codes = ids[:-1] << 32 | ids[1:]
+        return self.rank_of(ids[:-1] << 32 | ids[1:])
+
+    def rank_of(self, codes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         return np.where(self.codes[at] == codes, self.by_code[at], NONE)
 
@@ -97,30 +99,53 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(shift, lengths) + np.arange(total, dtype=kind)
 
 
-def merge_all(model: Model, ids: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    """Merges each of the sequences that lie one after the other in ids, all at once."""
-    out: list[np.ndarray] = [ids[:0]] * len(lengths)
+def merge_flat(model: Model, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merges each of the sequences that lie one after the other in ids, all at once; the
+    tokens of all, likewise, and their numbers."""
+    done_ids, done_lengths, done_numbers = [ids[:0]], [lengths[:0]], [lengths[:0]]
+    out, ids = np.zeros(len(lengths), np.int64), ids.copy()
     number = np.flatnonzero(lengths)
     lengths = lengths[number]
+    rank = np.append(model.ranks(ids), NONE) if len(ids) else ids
     while len(number):
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        rank = np.append(model.ranks(ids), NONE)
         rank[ends - 1] = NONE
         best = np.minimum.reduceat(rank, starts)
         done = best == NONE
-        for i in np.flatnonzero(done):
-            out[number[i]] = ids[starts[i]:ends[i]]
+        if done.any():
+            of_done = np.repeat(done, lengths)
+            done_ids.append(ids[of_done])
+            done_lengths.append(lengths[done])
+            done_numbers.append(number[done])
+            left = ~of_done
+            ids, rank, best = ids[left], rank[left], best[~done]
+            number, lengths = number[~done], lengths[~done]
+            starts = np.cumsum(lengths) - lengths
+        if not len(number):
+            break
         hit = (rank == np.repeat(best, lengths)) & (rank != NONE)
         # in a row of equal pairs every second one merges, from the left
         place = np.arange(len(hit))
         opens = hit & ~np.append(False, hit[:-1])
         hit &= (place - np.maximum.accumulate(np.where(opens, place, 0))) % 2 == 0
-        ids = np.where(hit, model.merged[np.where(hit, rank, 0)], ids)
-        stays = ~np.append(False, hit[:-1]) & np.repeat(~done, lengths)
-        lengths = (lengths - np.add.reduceat(hit, starts))[~done]
-        ids, number = ids[stays], number[~done]
-    return out
+        ids[hit] = model.merged[rank[hit]]
+        stays = ~np.append(False, hit[:-1])
+        lengths = lengths - np.add.reduceat(hit, starts)
+        ids, rank, fresh = ids[stays], rank[stays], hit[stays]
+        pairs = np.flatnonzero(fresh | np.append(fresh[1:], False))
+        pairs = pairs[pairs < len(ids) - 1]
+        rank[pairs] = model.rank_of(ids[pairs] << 32 | ids[pairs + 1])
+    flat, sizes, numbers = map(np.concatenate, (done_ids, done_lengths, done_numbers))
+    order = np.argsort(numbers)
+    out[numbers] = sizes
+    return flat[_ragged((np.cumsum(sizes) - sizes)[order], sizes[order])], out
+
+
+def merge_all(model: Model, ids: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The same as one array per sequence."""
+    flat, sizes = merge_flat(model, ids, lengths)
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 def _halves(data: bytes) -> list[bytes]:
@@ -190,13 +215,23 @@ class Encoder:
             self._forget()
         special = self.model.special
         new = [w for w in words if w not in self.slots]
-        plain = iter(encode_words(self.model, [w.encode() for w in new if w not in special]))
-        found = [np.array([special[w]]) if w in special else next(plain) for w in new]
-        lengths = np.array([len(x) for x in found], np.int64)
+        texts = [b"" if w in special else w.encode() for w in new]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        short = [t if len(t) <= LEAF else b"" for t in texts]
+        spelled = self.model.first[np.frombuffer(b"".join(short), np.uint8)]
+        ids, lengths = merge_flat(self.model, spelled, np.where(sizes <= LEAF, sizes, 0))
+        apart = [i for i, w in enumerate(new) if sizes[i] > LEAF or w in special]
+        if apart:  # long words by the tree of their halves, and added tokens
+            long = iter(encode_words(self.model, [texts[i] for i in apart if texts[i]]))
+            parts = np.split(ids, np.cumsum(lengths)[:-1])
+            for i in apart:
+                parts[i] = next(long) if texts[i] else np.array([special[new[i]]])
+                lengths[i] = len(parts[i])
+            ids = np.concatenate(parts)
         self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new)), strict=True))
         self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
         self.lengths = np.append(self.lengths, lengths)
-        self.ids = np.concatenate([self.ids, *found])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encoded(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Of each list of words all ids, one list after the other, and where each starts."""
