@@ -155,20 +155,6 @@ def test_pairs_of_a_hot_key_are_made_in_cells(spark, facts, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_distinct_counts_without_expand(spark, facts, rows, cal):
-    df = facts(*[("p1" if i % 3 else "p2", "SUB_A", None if i == 5 else f"c{i % 4}", "2024-01-0%d" % (1 + i % 9),
-                  "RETAIL_REVENUE", f"{i}.00") for i in range(40)])
-    products = rows("product_key string, subsidiary_code string, product_category string, cost_center string",
-                    ("p1", "SUB_A", "x", "cc"), ("p2", "SUB_A", "x", "cc"))
-    got = marts_group.product_performance(df, products, cal, 366)
-    row = got.first()
-    assert (row.transaction_count, row.unique_customers, row.revenue_php) == (40, 4, Decimal("780.00"))
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "Expand" not in plan and "transaction_key" not in plan.split("Aggregate")[-2]
-    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
-    assert exchanges and not any("transaction_key" in x for x in exchanges)
-
-
 def test_zero_denominators_give_null(rows, cal):
     shipments = rows(
         "transaction_date date, origin_city string, dest_city string, service_type string, "
