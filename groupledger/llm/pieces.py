@@ -23,7 +23,7 @@ from .common import table
 SPACE = "▁"
 #: Bytes of words and their ids that a worker remembers, about, in each of three tables, and
 #: what an entry takes beside them; and places for joints.
-REMEMBERED, ENTRY = 24 << 20, 180
+REMEMBERED, ENTRY = 64 << 20, 180
 JOINTS = 1 << 21
 #: Letters up to which words are relaxed together, by their letters' places.
 SHORT = 48
@@ -40,6 +40,9 @@ _RUNS = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
 class Vocabulary:
     """The pieces of a model: id, text and rank (by score; the best is merged first)."""
 
+    #: Set in workers: what encodes with it, kept from one task to the next.
+    encoder: Encoder | None = None
+
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
@@ -386,7 +389,10 @@ def _codes(text: str) -> np.ndarray:
 
 def _encode(shared, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        words = shared.value
+        if words.encoder is None:
+            words.encoder = Encoder(words)
+        encoder = words.encoder
         for whole in batches:
             for low in range(0, len(whole), 1024):
                 batch = whole.slice(low, 1024)
