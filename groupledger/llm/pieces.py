@@ -40,9 +40,6 @@ _RUNS = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
 class Vocabulary:
     """The pieces of a model: id, text and rank (by score; the best is merged first)."""
 
-    #: Set in workers: what encodes with it, kept from one task to the next.
-    encoder: Encoder | None = None
-
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
@@ -389,10 +386,7 @@ def _codes(text: str) -> np.ndarray:
 
 def _encode(shared, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        if words.encoder is None:
-            words.encoder = Encoder(words)
-        encoder = words.encoder
+        encoder = Encoder(shared.value)  # freed with its task, as idle workers share the memory
         for whole in batches:
             for low in range(0, len(whole), 1024):
                 batch = whole.slice(low, 1024)
