@@ -57,7 +57,7 @@ ENDS = {
 WALLS = frozenset("article aside body div footer form header main nav section table ul ol dl td th".split())
 LIST_WALLS = WALLS - {"td", "th"}
 ARTICLE, NOTHING = frozenset(("article",)), frozenset()
-#: Words of class, id and role that name page furniture, alone or before a hyphen.
+#: Whole names of class, id and role that say page furniture; other names are left to recurrence.
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
     "comments complementary consent contentinfo cookie cookies disqus footer masthead menu modal "
@@ -89,10 +89,7 @@ class Element:
         if not self.attrs or self.tag in ("html", "body"):
             return False
         names = " ".join(x for found in _NAMES.findall(self.attrs) for x in found).lower()
-        return any(
-            x in FURNITURE or (self.tag not in RUNNING and x.split("-")[0].split("_")[0] in FURNITURE)
-            for x in names.split()
-        )
+        return not FURNITURE.isdisjoint(names.split())
 
 
 def parse(html: str) -> Element:

@@ -478,6 +478,34 @@ def test_article_text():
     assert html_text.parts(html_text.parse("<div>" * 3000 + "x"))[0] == "x"
 
 
+def test_only_whole_names_say_furniture():
+    page = html_text.parse(
+        "<article><p>one<section id='related-work'><p>two</section>"
+        "<div class='search-algorithms'><p>three</div><div class='search'><p>gone</div>"
+        "<div class='box Share'><p>gone</div><p role=note>four</article>"
+    )
+    assert html_text.parts(page)[0] == "one\ntwo\nthree\nfour"
+
+
+def test_names_that_are_no_furniture_go_by_recurrence(spark):
+    def html(i: int, menu: str) -> str:
+        return (f"<body><div class='nav-left'><a href=/>{menu}</a></div><article><h1>T{i}</h1>"
+                f"<p>Body {i}</p><div class='share-box'>{menu}</div></article>")
+
+    rows = [(i, f"https://same.example/{i}", html(i, "Menu")) for i in range(20)]
+    rows += [(100 + i, f"https://other{i}.example/", html(i, "Menu")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert all(got[i] == f"T{i}\nBody {i}" for i in range(20))
+    assert all(got[100 + i] == f"T{i}\nBody {i}\nMenu" for i in range(20))
+
+
+def test_very_long_page():
+    body = "".join(f"<p>part {i} of the text" for i in range(100_000))
+    text = html_text.parts(html_text.parse(f"<article>{body}</article>"))[0]
+    assert text.count("\n") == 99_999 and text.endswith("part 99999 of the text")
+
+
 def test_site_template_goes(spark):
     rows = [(i, f"https://h{i % 2}.example/{i}",
              f"<body><div class=top>Site {i % 2} <i>x</i></div><h2>T{i}</h2><p>Body {i}<div>same</div>")
