@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -582,6 +583,27 @@ def test_decontamination_is_brute_force(spark, block):
         assert (sum(s.end - s.start for s in r.spans), r["items"]) == (n_hit, names)
 
 
+def test_decontamination_of_equal_words_is_quick():
+    short = [("s", [b"w"] * n) for n in range(1, 10)]
+    own = decontamination.Automaton([("long", [b"w"] * 1600), *short])
+    began = time.process_time()
+    spans, names = own.hits([b"w"] * 4000 + [b"x"] + [b"w"] * 5)
+    assert time.process_time() - began < 1
+    assert (spans, names) == ([(0, 4000), (4001, 4006)], {"long", "s"})
+
+
+def test_automata_come_from_tasks_and_repeats_count_once(spark):
+    items = [(i % 40, f"word{i % 40} " * 12) for i in range(400)] + [(None, "lone one")] * 3
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    built = list(decontamination.automata(bench, 700))
+    assert len(built) > 3
+    assert sorted(x for own in built for x in own.names) == sorted([*map(str, range(40)), "null"])
+    df = spark.createDataFrame([(7, "a lone one"), (7, "a lone one"), (8, None)], "doc_id long, text string")
+    got = decontamination.match(df, bench, "doc_id", block_bytes=700, cut=True).collect()
+    assert sorted((r.doc.doc_id, r["items"], r.rest) for r in got if r.rest) == [(7, ["null"], "a ")] * 2
+    assert [(r.n_words, r.spans, r.rest) for r in got if r.doc.doc_id == 8] == [(0, [], None)]
+
+
 def test_decontaminated_text(spark, odd, none):
     leak = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame([(1, leak), (None, None), (2, "")], "item_id long, text string")
