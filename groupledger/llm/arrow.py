@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of a lowered word as they are, A-Z lowered, all others a space.
 PLAIN = bytes(
@@ -29,3 +30,10 @@ def extended(batch: pa.RecordBatch, drop: str, **more: pa.Array) -> pa.RecordBat
     return pa.RecordBatch.from_arrays(
         [*(batch.column(name) for name in names), *more.values()], [*names, *more]
     )
+
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch: a column of their own or, where kept, a field of doc."""
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    return pc.struct_field(batch.column("doc"), "text")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .arrow import text_of
 from .common import table
 
 SPACE = "▁"
@@ -390,7 +391,7 @@ def _encode(shared, back: bool):
         for whole in batches:
             for low in range(0, len(whole), 1024):
                 batch = whole.slice(low, 1024)
-                ids = encoder.encoded([x or "" for x in batch.column("text").to_pylist()])
+                ids = encoder.encoded([x or "" for x in text_of(batch).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
                 values = np.frombuffer(b"".join(ids), np.int32)
                 columns = {"doc": batch.column("doc"), "ids": pa.ListArray.from_arrays(
@@ -408,8 +409,11 @@ def _encode(shared, back: bool):
 def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str, back: bool = False) -> DataFrame:
     """Per row of docs: doc (a struct of the columns to keep) and ids, as the model's own
     library gives them; with back also decoded, the text that the ids stand for. A null
-    text is empty and has no ids."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), "text")
+    text is empty and has no ids, an empty table gives no rows, repeated rows are encoded
+    alike. Time and memory are near a text's length. Only text and the columns to keep are
+    read, whatever the names of others; a text to keep goes to the tasks once."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc")
+    packed = docs.select(doc, *([] if "text" in keep else ["text"]))
     fields = [packed.schema["doc"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if back:
         fields.append(T.StructField("decoded", T.StringType()))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .arrow import extended, raw
+from .arrow import extended, raw, text_of
 from .common import checkpointed, stored, table
 from .graph import components
 
@@ -50,17 +50,16 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [fingerprint(x) for x in raw(batch.column("body"))]
-        yield extended(batch, "body", print=pa.array(prints, pa.int64()))
+        prints = [fingerprint(x) for x in raw(text_of(batch).cast(pa.binary()))]
+        yield extended(batch, "text", print=pa.array(prints, pa.int64()))
 
 
 def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
     """row, doc (a struct of the columns to keep) and print (long) of every row of docs,
-    stored."""
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"),
-        F.col("text").cast("binary").alias("body"),
-    ).select(F.monotonically_increasing_id().alias("row"), "doc", "body")
+    stored. A text to keep goes to the tasks once."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc")
+    packed = docs.select(doc, *([] if "text" in keep else ["text"]))
+    packed = packed.select(F.monotonically_increasing_id().alias("row"), *packed.columns)
     schema = T.StructType([
         T.StructField("row", T.LongType()), packed.schema["doc"], T.StructField("print", T.LongType()),
     ])
