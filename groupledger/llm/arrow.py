@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 
 import pyarrow as pa
@@ -37,3 +38,11 @@ def text_of(batch: pa.RecordBatch) -> pa.Array:
     if "text" in batch.schema.names:
         return batch.column("text")
     return pc.struct_field(batch.column("doc"), "text")
+
+
+def give_back() -> None:
+    """Returns freed memory of this process to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .arrow import text_of
+from .arrow import give_back, text_of
 from .common import table
 
 SPACE = "▁"
@@ -387,7 +387,7 @@ def _codes(text: str) -> np.ndarray:
 
 def _encode(shared, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)  # freed with its task, as idle workers share the memory
+        encoder = Encoder(shared.value)
         for whole in batches:
             for low in range(0, len(whole), 1024):
                 batch = whole.slice(low, 1024)
@@ -402,6 +402,8 @@ def _encode(shared, back: bool):
                         [shared.value.text(np.frombuffer(x, np.int32)) for x in ids], pa.string()
                     )
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        del encoder  # idle workers stay beside the next stage's
+        give_back()
 
     return run
 
