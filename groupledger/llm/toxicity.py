@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .arrow import raw, tokens
-from .common import ascii_lower, table, whole, words
+from .common import ascii_lower, stored, table, whole, words
 
 #: The model is fitted on so many labelled rows, those with the smallest hash of doc_id.
 SAMPLE = 20_000
@@ -87,18 +87,23 @@ def _cuts(parts: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of labelled texts (labels: doc_id, toxic of 0 or 1).
 
-    Rows without a doc_id or a label are left out. The sample is the same wherever and
-    however often it is drawn. Word counts of the sample are taken in Spark; only the
-    counts of the model's words in the sample's texts reach the driver."""
+    Rows without a doc_id or a label are left out. A doc_id labelled both 0 and 1 is toxic; of
+    the texts of a repeated doc_id the smallest counts, null as empty. Labels of one kind
+    only, or none, give the model without weights. The sample is the same wherever and
+    however often it is drawn, and is stored once. Word counts of the sample are taken in
+    Spark; only the counts of the model's words in the sample's texts reach the driver."""
     chosen = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
         F.xxhash64("doc_id"), "doc_id"
     ).limit(sample)
     # at most `sample` narrow rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "toxic", words(ascii_lower(whole(F.col("text")))).alias("words")
-    ).groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy(
+        "doc_id"
+    ).agg(F.max("toxic").alias("toxic"), F.min(whole(F.col("text"))).alias("text"))
+    texts = stored(texts.select(
+        "doc_id", "toxic", words(ascii_lower(F.col("text"))).alias("words")
+    ), "toxicity")
     n, n_toxic = texts.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not n_toxic or n == n_toxic:
         return Model()
@@ -112,13 +117,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not telling:
         return Model()
     number = {row.word: i for i, row in enumerate(telling)}
-    own = F.filter("words", lambda w: w.isin(list(number)))
-    entries = texts.select(F.col("doc_id"), "toxic", own.alias("words")).collect()
+    chosen_words = docs.sparkSession.createDataFrame([(w,) for w in number], "word string")
+    counted = texts.select("doc_id", F.explode("words").alias("word")).join(
+        chosen_words, "word"
+    ).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    counted = counted.groupBy("doc_id").agg(F.map_from_entries(
+        F.array_sort(F.collect_list(F.struct("word", "n")))
+    ).alias("counts"))  # as many entries as the model has words at most
+    entries = texts.select("doc_id", "toxic").join(counted, "doc_id", "left").orderBy("doc_id").collect()
     grades, rows, columns, values = [], [], [], []
     for at, entry in enumerate(entries):
-        counts: dict[str, int] = {}
-        for word in entry.words:
-            counts[word] = counts.get(word, 0) + 1
+        counts = entry.counts or {}
         marks = sum(n for w, n in counts.items() if telling[number[w]].z > 0)
         grades.append(entry.toxic and 1 + sum(marks >= step for step in STEPS))
         for word, count in counts.items():
@@ -152,7 +161,9 @@ def severity(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """Per row of docs: doc (a struct of the columns to keep), expected_severity (0 to
     HIGHEST), grade (the highest that is as likely as not) and toxic (grade over 0).
 
-    Null and empty texts have no words and score what the thresholds alone say."""
+    Null and empty texts have no words and score what the thresholds alone say. Repeated rows
+    score alike, an empty table gives no rows; a grade or toxic at exactly one half counts as
+    reached. Only text and the columns to keep are read, whatever the names of others."""
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"),
         F.col("text").cast("binary").alias("body"),

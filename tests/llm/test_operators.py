@@ -7,6 +7,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -310,6 +311,55 @@ def test_toxicity_odd_input(spark, odd, none):
     assert toxicity.train(none, labels.limit(0)) == toxicity.Model()
 
 
+def _toxicity_by_hand(docs, labels):
+    """Fit and scores of op4 without Spark."""
+    said, texts = {}, {}
+    for doc, toxic in labels:
+        said[doc] = max(toxic, said.get(doc, 0))
+    for doc, text in docs:
+        texts[doc] = min(text or "", texts.get(doc, text or ""))
+    counts = {d: Counter(decontamination.tokens(texts[d].encode())) for d in sorted(said) if d in texts}
+    n, bad = len(counts), sum(said[d] for d in counts)
+    z = {}
+    for word in set().union(*counts.values()):
+        a = sum(said[d] for d in counts if word in counts[d]) + .5
+        b = sum(1 - said[d] for d in counts if word in counts[d]) + .5
+        c, e = bad + 1 - a, n - bad + 1 - b
+        z[word] = (np.log(a / c) - np.log(b / e)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / e)
+    z = {w: x for w, x in z.items() if abs(x) >= toxicity.LEAST_Z}
+    names = sorted(z)
+    grades, entries = [], []
+    for at, (d, found) in enumerate(counts.items()):
+        marks = sum(k for w, k in found.items() if z.get(w, 0) > 0)
+        grades.append(said[d] and 1 + sum(marks >= s for s in toxicity.STEPS))
+        entries += [(at, names.index(w), np.log1p(k)) for w, k in found.items() if w in z]
+    rows, columns, values = map(np.array, zip(*entries, strict=True))
+    weights, cuts = toxicity.fit(rows, columns, values, np.array(grades), len(names))
+    return dict(zip(names, weights, strict=True)), cuts
+
+
+def test_toxicity_is_brute_force_with_repeats_and_ties(spark):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choices(["vile", "Awful", "fine", "calm", "day"],
+                                     [4, 3, 1, 1, 5] if i % 3 == 0 else [0, 0, 3, 3, 5], k=8)))
+            for i in range(150)]
+    labels = [(i, int(i % 3 == 0)) for i in range(150)] + [(5, 1), (5, 0), (6, 1), (900, 1)]
+    docs += [docs[6], (7, "zz other text"), (8, None), (9, ""), (9, "")]
+    rng.shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    weights, cuts = _toxicity_by_hand(docs, labels)
+    assert {b"vile", b"awful"} <= set(model.weights) == set(weights)
+    assert np.allclose([model.weights[w] for w in weights], list(weights.values()), atol=1e-6)
+    assert np.allclose(model.thresholds, cuts, atol=1e-6)
+    scored = toxicity.severity(df, model, "doc_id", "text").collect()
+    assert len(scored) == len(docs)
+    for r in scored:
+        found = Counter(decontamination.tokens((r.doc.text or "").encode()))
+        x = sum(weights[w] * np.log1p(k) for w, k in found.items() if w in weights)
+        assert abs(r.expected_severity - (1 / (1 + np.exp(cuts - x))).sum()) < 1e-5
+
+
 def test_toxicity_keeps_all_telling_words(spark):
     telling = " ".join(f"t{i}" for i in range(700))
     rows = [(i, f"{telling} plain" if i < 60 else "plain words") for i in range(120)]
