@@ -2,9 +2,29 @@
 
 from datetime import timedelta
 
-from groupledger.plans.warehouse import Settings
+from groupledger.plans.warehouse import Settings, Warehouse
 from groupledger.sources import testtables
 
+from .conftest import SMALL
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_joined_once_and_the_fact_is_not_copied(spark, tmp_path):
+    store = str(tmp_path)
+    raw = testtables.bronze(spark, SMALL, store)
+    for name in ("raw_sub_a_sales", "raw_sub_b_shipments", "raw_sub_d_orders", "raw_sub_e_leases",
+                 "raw_sub_c_loans"):
+        assert "Join" not in plan(raw[name])
+    settings = Settings(testtables.CALENDAR_START, testtables.CALENDAR_END, testtables.AS_OF)
+    warehouse = Warehouse(spark, raw, testtables.fx_quotes(spark, SMALL), settings, store)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").count()
+    assert warehouse.transactions.count() == 4 * lines + orders
+    assert sorted(p.name for p in tmp_path.glob("*/*")) == ["fx_rates", "lines", "orders"]
+
 
 def test_rates_cover_the_calendar():
     settings = Settings(
