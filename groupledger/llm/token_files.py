@@ -9,28 +9,44 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe
-from .common import new_folder, table
+from .common import new_folder, table, whole
 from .files import mapped, published
 
 #: The id that ends a document.
 END = 2
 #: Chunks whose ids a worker remembers.
 KNOWN = 700_000
+#: Bytes of texts whose pieces are looked at together; a text is never cut off.
+CHUNK = 24_000_000
+#: Bytes of pieces that go through the tokenizer at once, and of texts whose ids are put together.
+RUN, GATHERED = 100_000, 2_000_000
 #: Stands for a null doc_id in the files.
 NO_ID = -(1 << 63)
 #: A space between white space: there a text can't be cut without changing its tokens.
 _UNCUT = re.compile(r" (?<=\s.)(?=\s|\Z)")
+#: White space that pieces start with, and the kinds of bytes.
+BLANK = b"\t\n\v\f\r "
+WHITE, MARK = 1, 2
+KINDS = bytes(
+    WHITE if c in BLANK else MARK if c in string.punctuation.encode() else 0 for c in range(256)
+)
+#: Bytes that may end a character other than white space, and ASCII letters and digits.
+SOLID = np.array([c >= 128 or not chr(c).isspace() for c in range(256)])
+LETTER = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
 
 
 class Encoder:
@@ -110,6 +126,133 @@ class Encoder:
         ]
 
 
+def _parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the texts of a large string array start, with the end, and their bytes."""
+    _, offsets, data = texts.buffers()
+    if not len(texts):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
+    edges = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
+    return edges - edges[0], np.frombuffer(data or b"", np.uint8)[edges[0]:edges[-1]]
+
+
+def _runs(edges: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring parts, given by their edges, in runs of up to most, one part at least."""
+    low = 0
+    while low < len(edges) - 1:
+        high = max(int(np.searchsorted(edges, edges[low] + most, "right")) - 1, low + 1)
+        yield low, high
+        low = high
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(KINDS), np.uint8)
+
+
+def _solid(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each place in UTF-8 bytes is surely no white space."""
+    x, y, z = (data[np.maximum(at - back, 0)] for back in (3, 2, 1))
+    blank = (y == 0xC2) & ((z == 0x85) | (z == 0xA0)) | (
+        (x >= 0xE1) & (x <= 0xE3) & ((y == 0x80) | (y == 0x81) | (y == 0x9A))
+        & ((z <= 0x8A) | np.isin(z, (0x9F, 0xA8, 0xA9, 0xAF)))
+    )
+    return SOLID[z] & ~((z >= 128) & blank)
+
+
+def _lettered(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before is surely a letter or a digit: of ASCII or Latin-1."""
+    y, z = data[np.maximum(at - 2, 0)], data[at - 1]
+    return LETTER[z] | (z >= 128) & (y == 0xC3) & (z != 0x97) & (z != 0xB7)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes at which a byte-level tokenizer starts a new token whatever
+    stands around them: white space that follows another character, and punctuation that
+    follows a letter or a digit. Texts can be encoded in parts there."""
+    kinds = _kinds(data)
+    white, marks = (np.flatnonzero(kinds[1:] == kind) + 1 for kind in (WHITE, MARK))
+    return np.concatenate([white[_solid(data, white)], marks[_lettered(data, marks)]])
+
+
+def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in runs of about CHUNK bytes each, one text at least."""
+    edges = np.append(0, np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64))
+    for low, high in _runs(edges, CHUNK):
+        yield texts.slice(low, high - low)
+
+
+@lru_cache(1)
+def _tokenizer(data: bytes):
+    """The tokenizer of a file's bytes, which a worker keeps for its next task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_buffer(data)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+class CutEncoder:
+    """Ids of texts by a byte-level BPE tokenizer. Texts are cut (``cuts``), and the distinct
+    pieces go through the tokenizer once, many joined to one text: the bytes of its tokens
+    tell where a piece ends. A text with an added token is one piece."""
+
+    def __init__(self, data: bytes, lengths: np.ndarray, special: Sequence[str], end: int = END):
+        self.tokenizer, self.bytes, self.special = _tokenizer(data), lengths, special
+        self.kind = "<u2" if max(len(lengths), end + 1) <= 1 << 16 else "<u4"
+        self.joins = not any(c.isspace() for token in special for c in token)
+
+    def _tokenized(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(x.ids, self.kind)
+
+    def _learned(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct pieces, and where those of each start and end."""
+        edges, data = _parts(pieces)
+        # pieces from white space to another character can stand one after the other
+        plain = (_kinds(data)[edges[:-1]] == WHITE) & _solid(data, edges[1:]) & self.joins
+        order, count = np.argsort(~plain, kind="stable"), int(plain.sum())
+        ordered = pieces.take(pa.array(order))
+        edges, data = _parts(ordered)
+        found = [np.empty(0, self.kind)]
+        for low, high in _runs(edges[:count + 1], RUN):
+            found += self._tokenized([str(data[edges[low]:edges[high]], "utf-8")])
+        for low, high in _runs(edges[count:], RUN):
+            found += self._tokenized(ordered[count + low:count + high].to_pylist())
+        ids = np.concatenate(found)
+        token_edges = np.append(0, np.cumsum(self.bytes[ids]))
+        places = np.searchsorted(token_edges, edges)
+        if not np.array_equal(token_edges[np.minimum(places, len(ids))], edges):
+            raise ValueError("the tokens of a text do not spell it")
+        starts, ends = np.empty((2, len(pieces)), np.int64)
+        starts[order], ends[order] = places[:-1], places[1:]
+        return ids, starts, ends
+
+    def encoded(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Run by run of texts all ids, one text after the other, and the number of each's."""
+        texts = texts.cast(pa.large_string())
+        edges, data = _parts(texts)
+        marks = np.zeros(len(data) + 1, bool)
+        marks[cuts(data)] = True
+        for token in self.special:
+            for i in np.flatnonzero(pc.match_substring(texts, token).to_numpy(zero_copy_only=False)):
+                marks[edges[i] + 1:edges[i + 1]] = False
+        marks[edges] = True
+        places = np.flatnonzero(marks)
+        firsts = np.searchsorted(places, edges)
+        pieces = pa.LargeStringArray.from_buffers(
+            len(places) - 1, pa.py_buffer(places), pa.py_buffer(data)
+        ).dictionary_encode()
+        del marks, places
+        ids, starts, ends = self._learned(pieces.dictionary)
+        number = pieces.indices.to_numpy()
+        for low, high in _runs(edges, GATHERED):
+            some = number[firsts[low]:firsts[high]]
+            lengths = ends[some] - starts[some]
+            sums = np.append(0, np.cumsum(lengths))[firsts[low:high + 1] - firsts[low]]
+            yield ids[bpe._ragged(starts[some], lengths)], np.diff(sums)
+
+
 def _writer(path: str, folder: str, end: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = Encoder(path, end), TaskContext.get().partitionId()
@@ -133,29 +276,28 @@ def _writer(path: str, folder: str, end: int):
     return write
 
 
-def _split_writer(model: bpe.Model, folder: str, end: int):
-    """The same for byte-level BPE models, whose texts Spark splits into words."""
-    size = max(len(model.lengths), end + 1)
-    kind = "<u2" if size <= 1 << 16 else "<u4"
+def _cut_writer(data: bytes, model: bpe.Model, folder: str, end: int):
+    """The same for byte-level BPE models, whose texts are cut into pieces."""
+    lengths, special = model.lengths, tuple(model.special)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = bpe.Encoder(model), TaskContext.get().partitionId()
+        encoder, part = CutEncoder(data, lengths, special, end), TaskContext.get().partitionId()
         starts, docs, total = [np.zeros(1, np.int64)], [], 0
         with published(f"{folder}/{part:06d}.ids") as out:
             for batch in batches:
-                for some in bpe.chunks(batch):
-                    ids, edges = encoder.encoded(bpe.all_words(model, some))
-                    out.write(np.insert(ids.astype(kind), edges[1:], end).tobytes())
-                    starts.append(total + edges[1:] + np.arange(1, len(edges)))
-                    total = int(starts[-1][-1])
-                    docs.append(some.column("doc_id").fill_null(NO_ID).to_numpy())
+                docs.append(batch.column("doc_id").fill_null(NO_ID).to_numpy())
+                for some in chunks(batch.column("text")):
+                    for ids, sizes in encoder.encoded(some):
+                        out.write(np.insert(ids, np.cumsum(sizes), end).tobytes())
+                        starts.append(total + np.cumsum(sizes + 1))
+                        total = int(starts[-1][-1])
         for name, values in (("offsets", np.concatenate(starts).astype("<u8")),
                              ("docs", np.concatenate([np.empty(0, np.int64), *docs]).astype("<i8"))):
             with published(f"{folder}/{part:06d}.{name}") as out:
                 out.write(values.tobytes())
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([part], pa.int32()), "n_tokens": pa.array([total], pa.int64()),
-            "kind": pa.array([kind]),
+            "kind": pa.array([encoder.kind]),
         })
 
     return write
@@ -175,8 +317,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END) -> DataF
     except ValueError:  # not a byte-level BPE model: the tokenizer itself has the whole texts
         written = ordered.drop("key").mapInArrow(_writer(tokenizer, folder, end), schema)
     else:
-        split = ordered.select("doc_id", *bpe.split_words(model, F.col("text")))
-        written = split.mapInArrow(_split_writer(model, folder, end), schema)
+        with open(tokenizer, "rb") as file:
+            writer = _cut_writer(file.read(), model, folder, end)
+        written = ordered.select("doc_id", whole(F.col("text")).alias("text")).mapInArrow(writer, schema)
     rows = sorted(written.collect())
     bases = accumulate((r.n_tokens for r in rows), initial=0)
     parts = [(r.part, r.kind, base) for r, base in zip(rows, bases, strict=False)]

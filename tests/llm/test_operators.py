@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import time
@@ -10,12 +11,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from groupledger.llm import (
-    decontamination, html_text, licenses, pieces, pii, quality_rules, simhash, token_files,
+    bpe, decontamination, html_text, licenses, pieces, pii, quality_rules, simhash, token_files,
     toxicity, warc,
 )
 from groupledger.llm.common import new_folder
@@ -514,6 +516,67 @@ def test_token_files(spark, odd, none):
     assert token_files.read(token_files.write(none, path, folder), folder).count() == 0
 
 
+def _cut_ids(data, texts):
+    model = bpe.Model(data)
+    encoder = token_files.CutEncoder(data, model.lengths, tuple(model.special))
+    for some in token_files.chunks(pa.array(["", *texts]).slice(1)):
+        for ids, sizes in encoder.encoded(some):
+            yield from (x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1]))
+
+
+def test_cut_texts_have_the_tokenizers_ids(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        own = file.read()
+    other = json.loads(own)  # has tokens for runs of white space and marks, too, so that wrong cuts show
+    ids, merges = other["model"]["vocab"], other["model"]["merges"]
+    for a, b in [("Ġ", "Ġ"), ("Ċ", "Ċ"), ("Ċ", "Ġ"), ("Ġ", "Ċ"), ("Âł", "Ġ"), ("Ġ", "Âł"), ("a", "."), (".", "a")]:
+        ids.setdefault(a + b, len(ids))
+        merges.insert(0, [a, b] if isinstance(merges[0], list) else f"{a} {b}")
+    other["added_tokens"][0]["id"] = len(ids)
+    parts = [*" \n\tab1'é×“\u00a0\u2003\u2028\u3000\x85\x1c\r,._漢", "  ", "<|endoftext|>", "<|endof", "text|>", "'s", " a"]
+    texts = ["", *_texts(8, 2000, parts, 14), "x" * 50_000, " " * 50_000, "word, " * 9_000]
+    for data in (own, json.dumps(other).encode()):
+        want = [x.ids for x in Tokenizer.from_buffer(data).encode_batch(texts, add_special_tokens=False)]
+        assert list(_cut_ids(data, texts)) == want
+        with monkeypatch.context() as small:
+            for name in ("CHUNK", "RUN", "GATHERED"):
+                small.setattr(token_files, name, 40)
+            assert list(_cut_ids(data, texts)) == want
+    assert list(_cut_ids(own, [])) == []
+
+
+def test_pieces_go_through_the_tokenizer_once(monkeypatch):
+    import public_tokenizers
+
+    seen = []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    real = token_files._tokenizer
+    monkeypatch.setattr(token_files, "_tokenizer", lambda data: Counting(real(data)))
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        list(_cut_ids(file.read(), [f"one two, three {i % 7}." for i in range(1000)]))
+    assert sum(map(len, seen)) < 50
+
+
+def test_token_files_leaves_the_words_to_the_tasks(spark, odd, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "split_words", None)  # a regular expression in Spark was nearly a third of the job
+    folder = new_folder(spark, "tokens-test")
+    parts = token_files.write(odd, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    assert token_files.read(parts, folder).count() == len(ODD)
+
+
 # HTML
 
 
